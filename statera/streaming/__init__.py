@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reports are period-bounded batch jobs over ledger tables; nothing in them reads a
+stream, keeps state across micro-batches or uses watermarks, so this package holds no
+operator. A caller who lands ledger rows continuously runs the batch jobs per period.
+"""
