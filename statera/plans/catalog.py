@@ -87,7 +87,8 @@ def q_aging_buckets(t: FinanceTables) -> DataFrame:
 def q_optional_param_filter(t: FinanceTables) -> DataFrame:
     v = t.poz_suppliers_v.filter(optional_match("vendor_name", None) & optional_match("segment1", None))
     return t.ap_invoices_all.select("invoice_id", "vendor_id").join(
-        broadcast_if_small(v.select("vendor_id", "vendor_name", F.col("segment1").alias("supp_no"))), "vendor_id")
+        broadcast_if_small(v.select("vendor_id", "vendor_name", F.col("segment1").alias("supp_no"))), "vendor_id"
+    ).select("invoice_id", "vendor_id", "vendor_name", "supp_no")
 
 
 @register("nonzero_balance")
@@ -102,7 +103,8 @@ def q_nonzero_balance(t: FinanceTables) -> DataFrame:
 @register("join_site_existence")
 def q_join_site_existence(t: FinanceTables) -> DataFrame:
     sites = broadcast_if_small(t.poz_supplier_sites_all_m.select("vendor_site_id"))
-    return t.ap_invoices_all.select("invoice_id", "vendor_site_id").join(sites, "vendor_site_id")
+    return t.ap_invoices_all.select("invoice_id", "vendor_site_id").join(sites, "vendor_site_id").select(
+        "invoice_id", "vendor_site_id")
 
 
 @register("join_lookup_valid")
@@ -110,7 +112,7 @@ def q_join_lookup_valid(t: FinanceTables) -> DataFrame:
     lookup = broadcast_if_small(t.ap_lookup_codes.filter(F.col("lookup_type") == INVOICE_TYPE_LOOKUP).select(
         F.col("lookup_code").alias("invoice_type")))
     return t.ap_invoices_all.select("invoice_id", F.col("invoice_type_lookup_code").alias("invoice_type")).join(
-        lookup, "invoice_type")
+        lookup, "invoice_type").select("invoice_id", "invoice_type")
 
 
 @register("join_left_terms")
