@@ -51,13 +51,23 @@ def _case(key: Column, pairs: list[tuple[object, object]], default: object) -> C
     return expr.otherwise(d)
 
 
+_RAW_CACHE: dict[tuple[int, str], DataFrame] = {}
+
+
 class DriverTables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+        """Driver table as a lazy scan; the scan DataFrame (and its inferred schema) is
+        reused within the session, so building a plan does not re-run schema inference."""
+        path = os.path.join(self.sf_dir, f"{name}.parquet")
+        key = (id(self.spark), os.path.abspath(path))
+        df = _RAW_CACHE.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            df = _RAW_CACHE[key] = self.spark.read.parquet(path)
+        return df
 
     # ---- suppliers and parties -------------------------------------------------------
     def poz_suppliers_v(self) -> DataFrame:
