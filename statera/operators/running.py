@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,10 +44,17 @@ def sequence_and_running_total(df: DataFrame, order: Sequence[Column], amount: s
     seed_col = F.col(seed) if seed else F.lit(0)
 
     ensure_checkpoint_dir(spark)
-    ranged = (df.withColumn("_seed", seed_col)
-              .repartitionByRange(n, *keys)
-              .withColumn(SLICE, F.spark_partition_id())
-              .checkpoint(eager=True))
+    # The range sampler and the range shuffle both read the input: keep it cached for
+    # the two passes so the upstream plan is evaluated once. (A lost cached block is
+    # recomputed from the deterministic upstream plan; the slice numbers themselves are
+    # pinned by the checkpoint.)
+    rows = df.withColumn("_seed", seed_col).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranged = (rows.repartitionByRange(n, *keys)
+                  .withColumn(SLICE, F.spark_partition_id())
+                  .checkpoint(eager=True))
+    finally:
+        rows.unpersist()
 
     local_keys = [SLICE, *groups]
     w = Window.partitionBy(*local_keys).orderBy(*order)

@@ -38,11 +38,16 @@ PATIENT_G2 = PatientParams(PERIOD[0], PERIOD[1], PATIENT, options=G2)
 FX = FxConfig()
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+TableQueryFn = Callable[[FinanceTables], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
+TABLE_QUERIES: dict[str, TableQueryFn] = {}
 
 
 def register(name: str):
-    def deco(fn: Callable[[FinanceTables], DataFrame]) -> Callable[[FinanceTables], DataFrame]:
+    """Register ``fn(tables)``; ``QUERIES[name](spark, sf_dir)`` runs it on the relations
+    derived from the driver tables in ``sf_dir``."""
+    def deco(fn: TableQueryFn) -> TableQueryFn:
+        TABLE_QUERIES[name] = fn
         QUERIES[name] = lambda spark, sf_dir, _fn=fn: _fn(derive_tables(spark, sf_dir))
         return fn
     return deco
@@ -73,9 +78,7 @@ def q_days_outstanding(t: FinanceTables) -> DataFrame:
 def q_aging_buckets(t: FinanceTables) -> DataFrame:
     inv = t.ap_invoices_all.filter(F.col("invoice_date") < F.lit(AS_ON)).select(
         "invoice_id", "vendor_id", "invoice_date")
-    atb = t.ap_trial_balances.select("invoice_id", F.col("vendor_id").alias("atb_vendor_id"), "accounted_dr",
-                                     "accounted_cr")
-    rows = inv.join(atb, "invoice_id").filter(F.col("vendor_id") == F.col("atb_vendor_id")).select(
+    rows = aging.with_trial_balance(inv, t).select(
         "invoice_id", days_outstanding(AS_ON, "invoice_date").cast("bigint").alias("past_due_days"),
         exact(signed_balance("accounted_dr", "accounted_cr")).alias("amt_due_remaining"))
     b = aging.aging_buckets(rows)
