@@ -43,8 +43,30 @@ def _semi(df: DataFrame, keys: DataFrame, left_key: str, right_key: str) -> Data
     return df.join(k, F.col(left_key) == F.col("_k"), "left_semi")
 
 
-def _finish(df: DataFrame) -> DataFrame:
-    return df.select(*[exact(c).alias(c) if c in MONEY_OUTPUT else F.col(c) for c in OUTPUT_COLUMNS])
+SELECTOR = "selector_id"
+
+
+def _select(df: DataFrame, selector: Column, p: PatientParams) -> DataFrame:
+    """Keep the rows the patient selects and carry the selecting value as ``selector_id``.
+
+    With ``p.patient_id`` None every patient is reported in one run: rows are kept when
+    their selecting value exists, and ``selector_id`` (which can differ from the shown
+    ``patient_id``: receipts are selected by their invoice) tells the statements apart.
+    Filtering that result by one ``selector_id`` gives exactly the one-patient run.
+    """
+    df = df.withColumn(SELECTOR, selector)
+    if p.patient_id is None:
+        return df.filter(F.col(SELECTOR).isNotNull())
+    return df.filter(F.col(SELECTOR) == F.lit(p.patient_id))
+
+
+def _single(p: PatientParams) -> bool:
+    return p.patient_id is not None
+
+
+def _finish(df: DataFrame, p: PatientParams) -> DataFrame:
+    extra = [] if _single(p) else [F.col(SELECTOR)]
+    return df.select(*[exact(c).alias(c) if c in MONEY_OUTPUT else F.col(c) for c in OUTPUT_COLUMNS], *extra)
 
 
 # ---- invoices ------------------------------------------------------------------------------
@@ -72,12 +94,11 @@ def invoice_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
     """Invoice lines x GL distributions of the patient's invoices with applied totals and
     functional amounts, before grouping."""
     fx = p.fx
-    trx = t.ra_customer_trx_all.filter(
-        flexfield_or_sentinel("attribute_category", "attribute1") == F.lit(p.patient_id))
+    trx = _select(t.ra_customer_trx_all, flexfield_or_sentinel("attribute_category", "attribute1"), p)
     if p.options.invoice_period_on_trx_date:
         trx = trx.filter(F.col("trx_date").between(F.lit(p.from_date), F.lit(p.to_date)))
     trx = trx.select("customer_trx_id", "trx_number", "trx_date", "bill_to_customer_id", "invoice_currency_code",
-                     "attribute_category", "attribute1", "attribute2", "attribute12")
+                     "attribute_category", "attribute1", "attribute2", "attribute12", SELECTOR)
     acc, par = _accounts_parties(t)
     lines = t.ra_customer_trx_lines_all.filter(F.col("line_type") == "LINE").select(
         "customer_trx_line_id", "customer_trx_id", "extended_amount")
@@ -86,8 +107,8 @@ def invoice_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
          .join(par, "party_id")
          .join(lines, "customer_trx_id")
          .join(gl, "customer_trx_line_id")
-         .join(trx_applied_total(t, p, trx), ["account_number", "customer_trx_id", "bill_to_customer_id",
-                                               "party_name"], "left"))
+         .join(trx_applied_total(t, p, trx if _single(p) else None),
+               ["account_number", "customer_trx_id", "bill_to_customer_id", "party_name"], "left"))
     j = with_rate(j, rate_table(t, fx), "invoice_currency_code", "trx_date", "inv")
     return j.select(
         "party_name", F.col("account_number").alias("customer_number"),
@@ -102,7 +123,7 @@ def invoice_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
         to_functional("extended_amount", "invoice_currency_code", "inv", fx).alias("functional_original_amount"),
         flexfield("attribute_category", "attribute1").alias("patient_id"),
         flexfield("attribute_category", "attribute2").alias("patient_name"),
-        flexfield("attribute_category", "attribute12").alias("plan_name"))
+        flexfield("attribute_category", "attribute12").alias("plan_name"), SELECTOR)
 
 
 def invoice_branch(t: FinanceTables, p: PatientParams) -> DataFrame:
@@ -110,7 +131,7 @@ def invoice_branch(t: FinanceTables, p: PatientParams) -> DataFrame:
     attributes, applied amounts); original amounts summed."""
     keys = ["party_name", "customer_number", "invoice_number", "transaction_date", "gl_date", "currency",
             "transaction_type", "functional_currency", "exchange_rate", "patient_id", "patient_name", "plan_name",
-            "applied_amount", "functional_applied_amount"]
+            "applied_amount", "functional_applied_amount", SELECTOR]
     g = invoice_rows(t, p).groupBy(*keys).agg(
         F.sum("transaction_original_amount").alias("toa"), F.sum("functional_original_amount").alias("foa"))
     mask = p.options.date_mask
@@ -123,14 +144,14 @@ def invoice_branch(t: FinanceTables, p: PatientParams) -> DataFrame:
         F.col("foa").alias("functional_original_amount"),
         F.col("functional_applied_amount").alias("transaction_remaining_amount"),
         (F.col("foa") - F.col("functional_applied_amount")).alias("functional_remaining_amount"),
-        "exchange_rate", "patient_id", "patient_name", "plan_name"))
+        "exchange_rate", "patient_id", "patient_name", "plan_name", SELECTOR), p)
 
 
 # ---- receipts -----------------------------------------------------------------------------
 
 RECEIPT_KEYS = ["party_name", "customer_number", "receipt_number", "receipt_date", "currency", "transaction_type",
                 "transaction_amount", "functional_currency", "functional_original_amount", "exchange_rate",
-                "patient_id", "patient_name", "plan_name"]
+                "patient_id", "patient_name", "plan_name", SELECTOR]
 
 
 def _receipts(t: FinanceTables, p: PatientParams, in_period: bool) -> DataFrame:
@@ -155,7 +176,7 @@ def _receipt_columns(fx, functional_applied: Column, functional_original: Column
         functional_applied.alias("functional_applied_amount"),
         functional_original.alias("functional_original_amount"),
         F.col("receipt_attribute1").alias("patient_id"),
-        F.lit(None).cast("string").alias("patient_name"), F.lit(None).cast("string").alias("plan_name")]
+        F.lit(None).cast("string").alias("patient_name"), F.lit(None).cast("string").alias("plan_name"), SELECTOR]
 
 
 def receipt_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
@@ -163,8 +184,7 @@ def receipt_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
     fx = p.fx
     sel = (flexfield_or_sentinel if p.options.receipt_selector_sentinel else flexfield)(
         "attribute_category", "attribute1")
-    trx = t.ra_customer_trx_all.filter(sel == F.lit(p.patient_id)).select(
-        "customer_trx_id", "invoice_currency_code")
+    trx = _select(t.ra_customer_trx_all, sel, p).select("customer_trx_id", "invoice_currency_code", SELECTOR)
     app = t.ar_receivable_applications_all.filter(F.col("status") == STATUS_APPLIED).select(
         "cash_receipt_id", "applied_customer_trx_id", "amount_applied", "gl_date")
     j = (trx.join(app, F.col("customer_trx_id") == F.col("applied_customer_trx_id"))
@@ -184,7 +204,7 @@ def receipt_branch(t: FinanceTables, p: PatientParams) -> DataFrame:
         F.max(date_text("gl_date", mask)).alias("gl_date"),
         F.sum("transaction_applied_amount").alias("taa"),
         F.sum("functional_applied_amount").alias("faa"))
-    return _finish(_receipt_output(g, mask))
+    return _finish(_receipt_output(g, mask), p)
 
 
 def _receipt_output(g: DataFrame, mask: str) -> DataFrame:
@@ -197,7 +217,7 @@ def _receipt_output(g: DataFrame, mask: str) -> DataFrame:
         (F.lit(-1) * F.col("functional_original_amount")).alias("functional_original_amount"),
         (F.lit(-1) * F.col("faa")).alias("transaction_remaining_amount"),
         (F.lit(-1) * (F.col("functional_original_amount") - F.col("faa"))).alias("functional_remaining_amount"),
-        "exchange_rate", "patient_id", "patient_name", "plan_name")
+        "exchange_rate", "patient_id", "patient_name", "plan_name", SELECTOR)
 
 
 def receipt_applied_total(t: FinanceTables, receipts: DataFrame | None = None) -> DataFrame:
@@ -214,15 +234,15 @@ def unapplied_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
     fx = p.fx
     rc = _receipts(t, p, in_period=True)
     if p.options.unapplied_selector == "receipt":
-        rc = rc.filter(F.col("receipt_attribute1") == F.lit(p.patient_id))
+        rc = _select(rc, F.col("receipt_attribute1"), p)
     app = t.ar_receivable_applications_all.filter(F.col("status") == STATUS_UNAPPLIED).select(
         "cash_receipt_id", "applied_customer_trx_id", "amount_applied", "gl_date")
     trx = t.ra_customer_trx_all.select("customer_trx_id", "attribute_category", "attribute1")
     j = (rc.join(app, "cash_receipt_id")
          .join(trx, F.col("applied_customer_trx_id") == F.col("customer_trx_id"), "left"))
     if p.options.unapplied_selector == "invoice":
-        j = j.filter(flexfield_or_sentinel("attribute_category", "attribute1") == F.lit(p.patient_id))
-    j = j.join(receipt_applied_total(t, rc), "cash_receipt_id", "left")
+        j = _select(j, flexfield_or_sentinel("attribute_category", "attribute1"), p)
+    j = j.join(receipt_applied_total(t, rc if _single(p) else None), "cash_receipt_id", "left")
     j = with_rate(j, rate_table(t, fx), "currency_code", "receipt_date", "rct")
     cols = _receipt_columns(
         fx, to_functional("receipt_applied_total", "currency_code", "rct", fx, mode="any"),
@@ -240,7 +260,7 @@ def unapplied_branch(t: FinanceTables, p: PatientParams) -> DataFrame:
         F.sum("transaction_applied_amount").alias("taa"),
         F.sum(nvl("functional_applied_amount", 0)).alias("faa"))
     y = _receipt_output(g, mask)
-    return _finish(y.filter(F.col("functional_original_amount") == F.col("functional_remaining_amount")))
+    return _finish(y.filter(F.col("functional_original_amount") == F.col("functional_remaining_amount")), p)
 
 
 # ---- statement ----------------------------------------------------------------------------
@@ -252,10 +272,12 @@ def ledger(t: FinanceTables, p: PatientParams) -> DataFrame:
 
 
 def patient_statement(t: FinanceTables, p: PatientParams) -> DataFrame:
-    """R4 (options G1) / R5 (options G2)."""
+    """R4 (options G1) / R5 (options G2). With ``p.patient_id`` None: every patient's
+    statement in one run, with the selecting id in ``selector_id``."""
     out = ledger(t, p)
     if p.party_name is not None:
         out = out.filter(F.col("party_name") == F.lit(p.party_name))
+    first = [] if _single(p) else [F.col(SELECTOR).asc_nulls_last()]
     if p.options.order == "date_asc":
-        return out.orderBy(F.to_date("transaction_date", p.options.date_mask).asc_nulls_last())
-    return out.orderBy(F.col("gl_date").desc_nulls_first())
+        return out.orderBy(*first, F.to_date("transaction_date", p.options.date_mask).asc_nulls_last())
+    return out.orderBy(*first, F.col("gl_date").desc_nulls_first())

@@ -90,7 +90,7 @@ G2 = PatientOptions(date_mask="dd-MM-yyyy", invoice_period_on_trx_date=False,
 class PatientParams:
     from_date: dt.date
     to_date: dt.date
-    patient_id: str
+    patient_id: str | None              # None: every patient in one run (adds ``selector_id``)
     party_name: str | None = None       # G1 keeps only this party (the reference hard-codes a cashier)
     options: PatientOptions = G1
     fx: FxConfig = field(default_factory=FxConfig)

@@ -35,6 +35,7 @@ PATIENT = "P7"
 PATIENT_G1 = PatientParams(dt.date(1995, 1, 1), dt.date(2001, 12, 31), PATIENT, party_name="Customer#000000007",
                            options=G1)
 PATIENT_G2 = PatientParams(PERIOD[0], PERIOD[1], PATIENT, options=G2)
+ALL_PATIENTS_G2 = PatientParams(PERIOD[0], PERIOD[1], None, options=G2)
 FX = FxConfig()
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -363,3 +364,9 @@ def q_patient_statement_g1(t: FinanceTables) -> DataFrame:
 @register("patient_statement_g2")
 def q_patient_statement_g2(t: FinanceTables) -> DataFrame:
     return reports.patient_account_statement(t, PATIENT_G2)
+
+
+@register("patient_statements_all_g2")
+def q_patient_statements_all_g2(t: FinanceTables) -> DataFrame:
+    """R5 for every patient in one run (``selector_id`` names the patient)."""
+    return reports.patient_account_statement(t, ALL_PATIENTS_G2)

@@ -38,15 +38,19 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the reliable checkpoint folder of the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that one is used.
     Only a local-mode session without the setting (tests, laptops) gets a private
     folder of its own. A cluster session without the setting is an error: a
-    machine-local folder would not survive the loss of an executor.
+    machine-local folder would not survive the loss of an executor. A remote (Spark
+    Connect) session has no driver context here; its server's setting applies.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpoint folder is configured on the server
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current

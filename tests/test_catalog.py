@@ -75,3 +75,22 @@ def test_last_running_balance_is_opening_plus_movements(spark):
 def test_statement_has_no_duplicate_rows(spark):
     st = reports.supplier_account_statement(derive_tables(spark, SF), STATEMENT).drop("row_id", "totals")
     assert st.count() == st.distinct().count()
+
+
+@pytest.mark.parametrize("options", ["G1", "G2"])
+def test_all_patients_run_equals_one_patient_runs(spark, options):
+    import dataclasses
+    from statera.params import G1, G2
+    from statera.plans.catalog import PATIENT_G1, PATIENT_G2
+    base = PATIENT_G1 if options == "G1" else PATIENT_G2
+    t = derive_tables(spark, SF)
+    every = reports.patient_account_statement(t, dataclasses.replace(base, patient_id=None)).cache()
+    assert "selector_id" in every.columns
+    for patient in ("P7", "P3", "ZZZ"):
+        one = reports.patient_account_statement(t, dataclasses.replace(base, patient_id=patient))
+        got = collections.Counter(tuple(r) for r in every.filter(F.col("selector_id") == patient)
+                                  .drop("selector_id").collect())
+        want = collections.Counter(tuple(r) for r in one.collect())
+        assert got == want and (patient != "P7" or len(want) > 0)
+    every.unpersist()
+    assert G1 != G2
