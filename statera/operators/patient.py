@@ -23,6 +23,7 @@ from ..params import STATUS_APPLIED, STATUS_REVERSED, STATUS_UNAPPLIED, PatientP
 from ..sources.tables import FinanceTables
 from .fx import applied_to_functional, exchange_rate, rate, rate_table, to_functional, with_rate
 from .joins import broadcast_if_small
+from .totals import report_order
 
 OUTPUT_COLUMNS = ("party_name", "customer_number", "invoice_number", "transaction_date", "gl_date",
                   "transaction_currency", "transaction_type", "transaction_original_amount", "functional_currency",
@@ -277,7 +278,7 @@ def patient_statement(t: FinanceTables, p: PatientParams) -> DataFrame:
     out = ledger(t, p)
     if p.party_name is not None:
         out = out.filter(F.col("party_name") == F.lit(p.party_name))
-    first = [] if _single(p) else [F.col(SELECTOR).asc_nulls_last()]
+    first = [] if _single(p) else [SELECTOR]
     if p.options.order == "date_asc":
-        return out.orderBy(*first, F.to_date("transaction_date", p.options.date_mask).asc_nulls_last())
-    return out.orderBy(*first, F.col("gl_date").desc_nulls_first())
+        return report_order(out, [*first, F.to_date("transaction_date", p.options.date_mask).asc_nulls_last()])
+    return report_order(out, [*first, F.col("gl_date").desc_nulls_first()], skip=["gl_date"])

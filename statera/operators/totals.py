@@ -31,15 +31,27 @@ def _total_row(df: DataFrame, keys: Sequence[str], measures: Sequence[str], leve
     return agg.select(*cols, F.lit(level).alias(LEVEL))
 
 
+def report_order(df: DataFrame, leading: Sequence, skip: Sequence[str] = ()) -> DataFrame:
+    """Sort by ``leading`` and then by every other column, with a random last key.
+
+    The report order only fixes the leading keys; the rest makes the range partitions of
+    the global sort fine-grained (a hot supplier or day spreads over many tasks), and the
+    random key spreads even a block of identical rows (installment fan-out), which no
+    column can tell apart. Identical rows are interchangeable, so the order stays valid.
+    """
+    named = {c.lower() for c in [*leading, *skip] if isinstance(c, str)}
+    lead = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in leading]
+    rest = [F.col(c).asc_nulls_last() for c in df.columns if c.lower() not in named]
+    return df.orderBy(*lead, *rest, F.rand(17)).select(*df.columns)
+
+
 def with_group_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
                       sort: Sequence[str] = ()) -> DataFrame:
     """Rows followed by one subtotal per group, groups ascending by key (NULLs last)."""
     rows = df.select(*[F.col(c).cast(MONEY).alias(c) if c in measures else F.col(c) for c in df.columns],
                      F.lit(0).alias(LEVEL))
     out = rows.unionByName(_total_row(rows.drop(LEVEL), keys, measures, 1))
-    order = [F.col(k).asc_nulls_last() for k in keys] + [F.col(LEVEL).asc()] + \
-        [F.col(c).asc_nulls_last() for c in sort]
-    return out.orderBy(*order)
+    return report_order(out, [*keys, LEVEL, *sort])
 
 
 def with_grand_total(df: DataFrame, measures: Sequence[str], sort: Sequence[str] = ()) -> DataFrame:
@@ -47,4 +59,4 @@ def with_grand_total(df: DataFrame, measures: Sequence[str], sort: Sequence[str]
     rows = df.select(*[F.col(c).cast(MONEY).alias(c) if c in measures else F.col(c) for c in df.columns],
                      F.lit(0).alias(LEVEL))
     out = rows.unionByName(_total_row(rows.drop(LEVEL), [], measures, 2))
-    return out.orderBy(F.col(LEVEL).asc(), *[F.col(c).asc_nulls_last() for c in sort])
+    return report_order(out, [LEVEL, *sort])
