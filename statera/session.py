@@ -24,6 +24,32 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_tb: float, executors: int, cores_per_executor: int = 4) -> dict[str, str]:
+    """Settings for a large run (e.g. ~100 TB over ~1000 executors).
+
+    Shuffle partitions start at about one per 256 MB of the largest shuffled input
+    (at least 3 per core) and AQE coalesces them to the advisory size afterwards, so
+    small stages do not pay for the large ones. Scan splits of 256 MB keep the task
+    count of a 100 TB scan near 400k. Skewed partitions over 1 GB (and 5x the median)
+    are split by AQE.
+    """
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(3 * cores, int(input_tb * 1024 * 1024 / 256))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "statera", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)

@@ -19,7 +19,9 @@ from statera.sources.tables import FinanceTables  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark() -> SparkSession:
-    s = build_session("local[4]", shuffle_partitions=4, app_name="statera-tests")
+    import tempfile
+    s = build_session("local[4]", shuffle_partitions=4, app_name="statera-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="statera-wh-")})
     yield s
     s.stop()
 
