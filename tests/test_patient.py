@@ -196,3 +196,54 @@ def test_g1_party_filter_and_date_order(spark):  # R4 outer filter and order
     assert [r.invoice_number for r in rows] == ["T2", "T1"]
     assert patient_statement(t, params(party_name="Other")).count() == 0
     assert F is not None
+
+
+# ---- T4: the differences between the two datasets -----------------------------
+
+def _period(options, patient="P7"):
+    return PatientParams(dt.date(2024, 1, 1), dt.date(2024, 12, 31), patient, options=options)
+
+
+def _invoice_world(spark, trx_date):
+    return world(spark, ra_customer_trx_all=[trx(1, date=trx_date)],
+                 ra_customer_trx_lines_all=[dict(customer_trx_line_id=1, customer_trx_id=1, line_type="LINE",
+                                                 extended_amount=100)],
+                 ra_cust_trx_line_gl_dist_all=[dict(customer_trx_line_id=1, gl_date="2024-01-02")],
+                 ar_cash_receipts_all=[receipt(9, receipt_date="2024-01-05")],
+                 ar_receivable_applications_all=[dict(cash_receipt_id=9, applied_customer_trx_id=1, status="APP",
+                                                      amount_applied=30, gl_date="2024-01-05")])
+
+
+def test_invoice_period_only_in_g1_and_applied_total_period_only_in_g2(spark):
+    t = _invoice_world(spark, "2023-12-01")            # invoice dated before the period
+    assert invoice_branch(t, _period(G1)).count() == 0
+    rows = invoice_branch(t, _period(G2)).collect()
+    assert len(rows) == 1 and rows[0].transaction_applied_amount == dec(0)   # total counts in-period invoices only
+    t = _invoice_world(spark, "2024-03-01")
+    assert invoice_branch(t, _period(G1)).first().transaction_applied_amount == dec(30)
+    assert invoice_branch(t, _period(G2)).first().transaction_applied_amount == dec(30)
+
+
+def test_receipt_selector_sentinel_only_in_g2(spark):
+    t = world(spark, ra_customer_trx_all=[trx(1, category="OTHER")], ar_cash_receipts_all=[receipt(9)],
+              ar_receivable_applications_all=[dict(cash_receipt_id=9, applied_customer_trx_id=1, status="APP",
+                                                   amount_applied=30, gl_date="2024-03-06")])
+    assert receipt_branch(t, _period(G1, "ZZZ")).count() == 0
+    assert receipt_branch(t, _period(G2, "ZZZ")).count() == 1
+
+
+def test_receipt_period_only_in_g2(spark):
+    t = world(spark, ra_customer_trx_all=[trx(1)], ar_cash_receipts_all=[receipt(9, receipt_date="2023-06-01")],
+              ar_receivable_applications_all=[dict(cash_receipt_id=9, applied_customer_trx_id=1, status="APP",
+                                                   amount_applied=30, gl_date="2024-03-06")])
+    assert receipt_branch(t, _period(G1)).count() == 1
+    assert receipt_branch(t, _period(G2)).count() == 0
+
+
+def test_unapplied_selector_receipt_in_g1_invoice_in_g2(spark):  # J9, H24
+    t = world(spark, ar_cash_receipts_all=[receipt(9)],
+              ar_receivable_applications_all=[dict(cash_receipt_id=9, applied_customer_trx_id=None,
+                                                   status="UNAPP", amount_applied=100, gl_date="2024-03-06")])
+    assert unapplied_branch(t, _period(G1)).count() == 1
+    assert unapplied_branch(t, _period(G2)).count() == 0          # no invoice: its selector reads 'ZZZ'
+    assert unapplied_branch(t, _period(G2, "ZZZ")).count() == 1
