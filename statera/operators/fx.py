@@ -26,18 +26,21 @@ from .joins import broadcast_if_small
 
 def rate_table(t: FinanceTables, fx: FxConfig) -> DataFrame:
     """(from_currency, conversion_date) -> smallest rate and number of rates, to the
-    functional currency."""
-    r = t.gl_daily_rates.filter(F.col("to_currency") == F.lit(fx.functional_currency))
-    return r.groupBy("from_currency", "conversion_date").agg(
-        F.min("conversion_rate").alias("rate_any"), F.count(F.lit(1)).alias("rate_count"))
+    functional currency; built once per tables object and size-checked for broadcast."""
+    def build() -> DataFrame:
+        r = t.gl_daily_rates.filter(F.col("to_currency") == F.lit(fx.functional_currency))
+        return broadcast_if_small(r.groupBy("from_currency", "conversion_date").agg(
+            F.min("conversion_rate").alias("rate_any"), F.count(F.lit(1)).alias("rate_count")))
+    return t.derived(("rates", fx.functional_currency), build)
 
 
 def with_rate(df: DataFrame, rates: DataFrame, currency: str, doc_date: str, prefix: str) -> DataFrame:
     """Left-join the rate of ``currency`` on the day of ``doc_date``; adds
-    ``<prefix>_rate_any`` and ``<prefix>_rate_count``."""
-    r = broadcast_if_small(rates.select(
+    ``<prefix>_rate_any`` and ``<prefix>_rate_count``. ``rates`` comes from
+    :func:`rate_table` (already size-checked for broadcast)."""
+    r = rates.select(
         F.col("from_currency").alias(f"{prefix}_from"), F.col("conversion_date").alias(f"{prefix}_day"),
-        F.col("rate_any").alias(f"{prefix}_rate_any"), F.col("rate_count").alias(f"{prefix}_rate_count")))
+        F.col("rate_any").alias(f"{prefix}_rate_any"), F.col("rate_count").alias(f"{prefix}_rate_count"))
     cond = (F.col(currency) == F.col(f"{prefix}_from")) & (day(doc_date) == F.col(f"{prefix}_day"))
     return df.join(r, cond, "left").drop(f"{prefix}_from", f"{prefix}_day")
 

@@ -42,6 +42,14 @@ class FinanceTables:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def derived(self, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+        """A DataFrame derived from these tables, built once per key (e.g. the rate
+        table of one functional currency) so every use shares one plan."""
+        k = ("__derived__", *key)
+        if k not in self._cache:
+            self._cache[k] = build()
+        return self._cache[k]
+
     def with_overrides(self, **frames: DataFrame) -> "FinanceTables":
         base = self._loader
         return FinanceTables(lambda n: frames[n] if n in frames else base(n))
