@@ -43,14 +43,29 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str, out_dir: str, files: i
 
 
 def land_tables(spark: SparkSession, source: FinanceTables, database: str = "default", buckets: int = 8,
-                relations: Iterable[str] = RELATIONS) -> FinanceTables:
+                relations: Iterable[str] = RELATIONS, parallel: int = 4) -> FinanceTables:
     """Write every relation of ``source`` as a table of ``database`` (bucketed facts),
-    and return FinanceTables reading them back from the catalog."""
+    and return FinanceTables reading them back from the catalog.
+
+    Relations are independent, so up to ``parallel`` of them are written at the same
+    time (Spark runs jobs submitted from several threads side by side and shares the
+    executors between them).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name in relations:
+
+    def write(name: str) -> None:
         writer = source.table(name).write.mode("overwrite").format("parquet")
         key = BUCKET_KEYS.get(name)
         if key:
             writer = writer.bucketBy(buckets, key).sortBy(key)
         writer.saveAsTable(f"{database}.{name}")
+
+    names = list(relations)
+    for name in names:          # build the DataFrames on this thread (plan construction is not parallel)
+        source.table(name)
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for _ in pool.map(write, names):
+            pass
     return FinanceTables.from_catalog(spark, database, normalize=False)
