@@ -2,10 +2,10 @@
 
 All per-invoice aggregates are ``groupBy(invoice_id)`` with partial (map-side)
 aggregation, computed once and left-joined - the decorrelated form of the
-reference's correlated subqueries. When the statement is for one supplier the
-inputs are first cut to that supplier's invoices with a semi join (a small,
-size-checked build side), so the aggregates never scan-and-shuffle the whole
-payment history of every supplier.
+reference's correlated subqueries. When the statement is for one supplier and the
+facts are large, the inputs are first cut to that supplier's invoices with a semi
+join (``joins.restrict_to``: size-checked build side), so the aggregates never
+shuffle the whole payment history of every supplier.
 """
 
 from __future__ import annotations
@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from ..functions import nvl
 from ..params import INVOICE_TYPE_LOOKUP, StatementParams
 from ..sources.tables import FinanceTables
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, restrict_to
 
 
 def _restrict(df: DataFrame, keys: DataFrame | None, on: str) -> DataFrame:
-    return df if keys is None else df.join(broadcast_if_small(keys.select(on).distinct()), on, "left_semi")
+    return df if keys is None else restrict_to(df, keys, on)
 
 
 def paid_to_date(t: FinanceTables, cutoff: dt.date | Column, invoices: DataFrame | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from ..functions import date_text, day_between, exact, nvl
 from ..params import APPROVED_STATUS, VOID_PAYMENT_STATUS, WF_APPROVED_STATUS, StatementParams
 from ..sources.tables import FinanceTables
 from .balances import opening_balance
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, restrict_to
 from .running import sequence_and_running_total
 
 LEDGER_COLUMNS = ("rec_type", "vendor_id", "sup_name", "sup_num", "trx_num", "patient_name", "trx_date",
@@ -38,7 +38,7 @@ def invoice_tax_total(t: FinanceTables, invoices: DataFrame | None = None) -> Da
     """Per invoice ``SUM(NVL(amount, 0))`` of its TAX lines."""
     lines = t.ap_invoice_lines_all.filter(F.col("line_type_lookup_code") == "TAX")
     if invoices is not None:
-        lines = lines.join(broadcast_if_small(invoices.select("invoice_id").distinct()), "invoice_id", "left_semi")
+        lines = restrict_to(lines, invoices, "invoice_id")
     return lines.groupBy("invoice_id").agg(F.sum(nvl("amount", 0)).alias("tax_total"))
 
 
@@ -47,7 +47,7 @@ def payment_wht_total(t: FinanceTables, checks: DataFrame | None = None) -> Data
     paid twice by the same check counts twice."""
     pays = t.ap_invoice_payments_all.select("invoice_id", "check_id")
     if checks is not None:
-        pays = pays.join(broadcast_if_small(checks.select("check_id").distinct()), "check_id", "left_semi")
+        pays = restrict_to(pays, checks, "check_id")
     awt = t.ap_invoice_lines_all.filter(F.col("line_type_lookup_code") == "AWT").select("invoice_id", "amount")
     return awt.join(pays, "invoice_id").groupBy("check_id").agg(F.sum("amount").alias("wht_total"))
 

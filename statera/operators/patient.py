@@ -22,7 +22,7 @@ from ..functions import date_text, day_between, exact, flexfield, flexfield_or_s
 from ..params import STATUS_APPLIED, STATUS_REVERSED, STATUS_UNAPPLIED, PatientParams
 from ..sources.tables import FinanceTables
 from .fx import applied_to_functional, exchange_rate, rate, rate_table, to_functional, with_rate
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, restrict_to
 from .totals import report_order
 
 OUTPUT_COLUMNS = ("party_name", "customer_number", "invoice_number", "transaction_date", "gl_date",
@@ -40,8 +40,7 @@ def _accounts_parties(t: FinanceTables) -> tuple[DataFrame, DataFrame]:
 
 
 def _semi(df: DataFrame, keys: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    k = broadcast_if_small(keys.select(F.col(right_key).alias("_k")).distinct())
-    return df.join(k, F.col(left_key) == F.col("_k"), "left_semi")
+    return restrict_to(df, keys, left_key, right_key)
 
 
 SELECTOR = "selector_id"
