@@ -134,3 +134,10 @@ def test_empty_string_is_null(spark):  # X30 / H12
     df = spark.createDataFrame([("",), ("A",)], "vendor_name string")
     assert [r.vendor_name for r in empty_strings_as_null(df).orderBy(F.col("vendor_name").asc_nulls_first())
             .collect()] == [None, "A"]
+
+
+def test_summary_merges_vendors_sharing_name_and_number(spark):  # H20
+    vendors = [dict(vendor_id=1, vendor_name="A", segment1="1"), dict(vendor_id=2, vendor_name="A", segment1="1")]
+    inv = [dict(invoice_id=i, vendor_id=i, vendor_site_id=i * 10 + 1, invoice_date="2024-06-01") for i in (1, 2)]
+    rows = ap_aging_summary(world(spark, inv, vendors=vendors), P).collect()
+    assert [(r.vendor_name, r.vendor_number, r.total) for r in rows] == [("A", "1", dec(20))]

@@ -247,3 +247,12 @@ def test_unapplied_selector_receipt_in_g1_invoice_in_g2(spark):  # J9, H24
     assert unapplied_branch(t, _period(G1)).count() == 1
     assert unapplied_branch(t, _period(G2)).count() == 0          # no invoice: its selector reads 'ZZZ'
     assert unapplied_branch(t, _period(G2, "ZZZ")).count() == 1
+
+
+def test_receipt_row_shows_receipt_patient_but_is_selected_by_invoice(spark):  # H24
+    t = world(spark, ra_customer_trx_all=[trx(1)], ar_cash_receipts_all=[receipt(9, attribute1="P99")],
+              ar_receivable_applications_all=[dict(cash_receipt_id=9, applied_customer_trx_id=1, status="APP",
+                                                   amount_applied=30, gl_date="2024-03-06")])
+    rows = receipt_branch(t, params()).collect()
+    assert [r.patient_id for r in rows] == ["P99"]
+    assert receipt_branch(t, PatientParams(dt.date(2024, 1, 1), dt.date(2024, 12, 31), "P99")).count() == 0

@@ -135,3 +135,15 @@ def test_by_vendor_statement_restarts_per_vendor(spark):
     rows = supplier_statement_by_vendor(t, StatementParams(P.from_date, P.to_date, None)).collect()
     assert [(r.vendor_id, r.row_id, r.totals) for r in rows] == [
         (1, 1, dec(150)), (2, 1, dec(7)), (2, 2, dec(10))]
+
+
+def test_equal_dates_are_numbered_in_a_fixed_order(spark):  # H9
+    t = world(spark, ap_invoices_all=[inv(2, "2024-02-02", 100), inv(1, "2024-02-02", 50)],
+              ap_payment_schedules_all=[dict(invoice_id=1, amount_remaining=1), dict(invoice_id=2, amount_remaining=1)],
+              ap_checks_all=[dict(check_id=7, payment_id=7, vendor_id=1, currency_code="KES")],
+              iby_payments_all=[dict(payment_id=7, payment_reference_number=500007, payment_date="2024-02-02",
+                                     payment_amount=40, payment_status="ISSUED")])
+    rows = supplier_statement(t, P).collect()
+    assert [(r.row_id, r.rec_type, r.trx_num) for r in rows] == [
+        (1, "Invoice", "I1"), (2, "Invoice", "I2"), (3, "Payment", "500007")]
+    assert [r.totals for r in rows] == [dec(50), dec(150), dec(110)]
