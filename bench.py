@@ -40,19 +40,21 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     mode = os.environ.get("BENCH_MODE", "landed")
-    scratch = tempfile.mkdtemp(prefix="statera-bench-")
-    from statera.session import build_session
+    from statera.session import build_session, scratch_dir
     from statera.plans.catalog import TABLE_QUERIES
     from statera.sources import derive_tables
     from statera.sources.landing import land_tables, stage_driver_tables
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus, extra={
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
-        "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse")})
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="statera-bench-wh-")})
+    # intermediate tables go next to the session's checkpoint folder (shared on a cluster)
+    scratch = scratch_dir(spark, "statera-bench")
     t0 = time.perf_counter()
     if mode == "landed":
-        staged = stage_driver_tables(spark, sf_dir, os.path.join(scratch, "driver"), files=cpus)
-        tables = land_tables(spark, derive_tables(spark, staged), "finance", buckets=cpus)
+        staged = stage_driver_tables(spark, sf_dir, f"{scratch}/driver", files=cpus)
+        tables = land_tables(spark, derive_tables(spark, staged), "finance", buckets=cpus,
+                             location=f"{scratch}/finance")
     else:
         tables = derive_tables(spark, sf_dir)
     landing = time.perf_counter() - t0

@@ -89,3 +89,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         return sc.getCheckpointDir()
     raise RuntimeError(
         "spark.checkpoint.dir is not set; point it at a folder shared by the cluster")
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate tables (e.g. landed relations) next to the
+    session's reliable checkpoint folder - on a cluster that is the shared folder named
+    in ``spark.checkpoint.dir``, in a local test session the private one."""
+    import uuid
+
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("no checkpoint folder known for this session")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

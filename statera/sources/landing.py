@@ -43,9 +43,12 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str, out_dir: str, files: i
 
 
 def land_tables(spark: SparkSession, source: FinanceTables, database: str = "default", buckets: int = 8,
-                relations: Iterable[str] = RELATIONS, parallel: int = 4) -> FinanceTables:
+                relations: Iterable[str] = RELATIONS, parallel: int = 4,
+                location: str | None = None) -> FinanceTables:
     """Write every relation of ``source`` as a table of ``database`` (bucketed facts),
-    and return FinanceTables reading them back from the catalog.
+    and return FinanceTables reading them back from the catalog. With ``location`` the
+    tables' files go to ``<location>/<relation>`` (e.g. a shared folder), otherwise to
+    the catalog's warehouse.
 
     Relations are independent, so up to ``parallel`` of them are written at the same
     time (Spark runs jobs submitted from several threads side by side and shares the
@@ -57,6 +60,8 @@ def land_tables(spark: SparkSession, source: FinanceTables, database: str = "def
 
     def write(name: str) -> None:
         writer = source.table(name).write.mode("overwrite").format("parquet")
+        if location:
+            writer = writer.option("path", f"{location.rstrip('/')}/{name}")
         key = BUCKET_KEYS.get(name)
         if key:
             writer = writer.bucketBy(buckets, key).sortBy(key)

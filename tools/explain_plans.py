@@ -29,14 +29,14 @@ def main() -> None:
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     from statera.plans.catalog import TABLE_QUERIES
-    from statera.session import build_session
+    from statera.session import build_session, scratch_dir
     from statera.sources import derive_tables
     from statera.sources.landing import land_tables, stage_driver_tables
 
-    scratch = tempfile.mkdtemp(prefix="statera-plans-")
-    spark = build_session("local[8]", 8, extra={"spark.sql.warehouse.dir": os.path.join(scratch, "wh")})
-    staged = stage_driver_tables(spark, args.sf, os.path.join(scratch, "driver"))
-    tables = land_tables(spark, derive_tables(spark, staged), "finance")
+    spark = build_session("local[8]", 8, extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="statera-wh-")})
+    scratch = scratch_dir(spark, "statera-plans")
+    staged = stage_driver_tables(spark, args.sf, f"{scratch}/driver")
+    tables = land_tables(spark, derive_tables(spark, staged), "finance", location=f"{scratch}/finance")
     os.makedirs(args.out, exist_ok=True)
     for name in args.names or HEADLINE:
         df = TABLE_QUERIES[name](tables)
