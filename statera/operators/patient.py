@@ -22,7 +22,7 @@ from ..functions import date_text, day_between, exact, flexfield, flexfield_or_s
 from ..params import STATUS_APPLIED, STATUS_REVERSED, STATUS_UNAPPLIED, PatientParams
 from ..sources.tables import FinanceTables
 from .fx import applied_to_functional, exchange_rate, rate, rate_table, to_functional, with_rate
-from .joins import broadcast_if_small, restrict_to
+from .joins import restrict_to
 from .totals import report_order
 
 OUTPUT_COLUMNS = ("party_name", "customer_number", "invoice_number", "transaction_date", "gl_date",
