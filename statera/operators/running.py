@@ -5,7 +5,8 @@ row into one task, and with ``PARTITION BY account`` a hot account (a third of a
 rows) still lands in one task. Here the ordered rows are cut into contiguous slices:
 
 1. ``repartitionByRange`` over (group keys, order keys) splits the rows into ``n``
-   balanced slices, each a contiguous range of the total order; the slice number is
+   balanced slices (``n`` from the row count: about a million rows per slice), each
+   a contiguous range of the total order; the slice number is
    pinned with a reliable ``checkpoint()`` (a re-run after a lost executor must not
    re-sample different range bounds);
 2. a window *within* each (slice, group) gives the local row number and local sum;
@@ -33,12 +34,21 @@ from .joins import broadcast_bounded
 SLICE = "_slice"
 
 
+ROWS_PER_SLICE = 1_000_000
+
+
 def sequence_and_running_total(df: DataFrame, order: Sequence[Column], amount: str,
                                partition_by: Sequence[str] = (), seed: str | None = None,
                                row_id: str = "row_id", running: str = "running_total",
-                               slices: int | None = None) -> DataFrame:
+                               slices: int | None = None, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Row number and running sum of ``amount`` over ``order`` (per ``partition_by``).
+
+    ``slices`` defaults to one slice per ``rows_per_slice`` input rows (counted on the
+    cached input), so a small ledger is one slice and a large one is cut so that no
+    window task holds more than about ``rows_per_slice`` rows; the carried-offset table
+    then has at most ``slices`` rows.
+    """
     spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = list(partition_by)
     keys = [F.col(c).asc_nulls_last() for c in groups] + list(order)
     seed_col = F.col(seed) if seed else F.lit(0)
@@ -50,6 +60,7 @@ def sequence_and_running_total(df: DataFrame, order: Sequence[Column], amount: s
     # pinned by the checkpoint.)
     rows = df.withColumn("_seed", seed_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        n = slices or max(1, -(-rows.count() // max(1, rows_per_slice)))
         ranged = (rows.repartitionByRange(n, *keys)
                   .withColumn(SLICE, F.spark_partition_id())
                   .checkpoint(eager=True))
