@@ -250,6 +250,16 @@ class DriverTables:
         return getattr(self, name)()
 
 
+_TABLES_CACHE: dict[tuple[int, str], tuple[SparkSession, FinanceTables]] = {}
+
+
 def derive_tables(spark: SparkSession, sf_dir: str) -> FinanceTables:
-    """FinanceTables whose relations are derived from the driver tables in ``sf_dir``."""
-    return FinanceTables(DriverTables(spark, sf_dir).relation)
+    """FinanceTables whose relations are derived from the driver tables in ``sf_dir``.
+
+    The relations are lazy plans, so one FinanceTables per session and folder is shared
+    by every query (each relation's plan is built once)."""
+    key = (id(spark), os.path.abspath(sf_dir))
+    hit = _TABLES_CACHE.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = _TABLES_CACHE[key] = (spark, FinanceTables(DriverTables(spark, sf_dir).relation))
+    return hit[1]
