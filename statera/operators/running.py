@@ -18,6 +18,9 @@ rows) still lands in one task. Here the ordered rows are cut into contiguous sli
 
 ``seed`` (e.g. an opening balance) is added from the first row of each group onwards,
 taken from the group's first row.
+
+When the counted input fits in one slice (at most ``rows_per_slice`` rows, a proven
+bound for one task) the steps collapse to a single window over the cached rows.
 """
 
 from __future__ import annotations
@@ -61,6 +64,8 @@ def sequence_and_running_total(df: DataFrame, order: Sequence[Column], amount: s
     rows = df.withColumn("_seed", seed_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = slices or max(1, -(-rows.count() // max(1, rows_per_slice)))
+        if n == 1:
+            return _single_slice(rows, df.columns, order, amount, groups, row_id, running)
         ranged = (rows.repartitionByRange(n, *keys)
                   .withColumn(SLICE, F.spark_partition_id())
                   .checkpoint(eager=True))
@@ -96,3 +101,17 @@ def sequence_and_running_total(df: DataFrame, order: Sequence[Column], amount: s
         (F.coalesce(F.col("_group_seed"), F.col("_local_seed"))
          + F.coalesce(F.col("_prior_s"), F.lit(0)) + F.col("_cum")).alias(running))
     return result
+
+
+def _single_slice(rows: DataFrame, columns: list[str], order: Sequence[Column], amount: str,
+                  groups: list[str], row_id: str, running: str) -> DataFrame:
+    """At most ``rows_per_slice`` rows in all (counted): one window over them is within
+    the per-task bound, so no range slicing is needed. The result is checkpointed, so it
+    does not depend on the cached input, which is released by the caller."""
+    w = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = rows.select(
+        *columns,
+        F.row_number().over(w).cast("bigint").alias(row_id),
+        (F.first("_seed").over(upto) + F.sum(amount).over(upto)).alias(running))
+    return out.checkpoint(eager=True)
