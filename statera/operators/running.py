@@ -43,11 +43,11 @@ ROWS_PER_SLICE = 1_000_000
 def sequence_and_running_total(df: DataFrame, order: Sequence[Column], amount: str,
                                partition_by: Sequence[str] = (), seed: str | None = None,
                                row_id: str = "row_id", running: str = "running_total",
-                               slices: int | None = None, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+                               slices: int | None = None, rows_per_slice: int | None = None) -> DataFrame:
     """Row number and running sum of ``amount`` over ``order`` (per ``partition_by``).
 
-    ``slices`` defaults to one slice per ``rows_per_slice`` input rows (counted on the
-    cached input), so a small ledger is one slice and a large one is cut so that no
+    ``slices`` defaults to one slice per ``rows_per_slice`` (default ``ROWS_PER_SLICE``)
+    input rows (counted on the cached input), so a small ledger is one slice and a large one is cut so that no
     window task holds more than about ``rows_per_slice`` rows; the carried-offset table
     then has at most ``slices`` rows.
     """
@@ -63,7 +63,8 @@ def sequence_and_running_total(df: DataFrame, order: Sequence[Column], amount: s
     # pinned by the checkpoint.)
     rows = df.withColumn("_seed", seed_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = slices or max(1, -(-rows.count() // max(1, rows_per_slice)))
+        per_slice = max(1, rows_per_slice or ROWS_PER_SLICE)
+        n = slices or max(1, -(-rows.count() // per_slice))
         if n == 1:
             return _single_slice(rows, df.columns, order, amount, groups, row_id, running)
         ranged = (rows.repartitionByRange(n, *keys)

@@ -111,3 +111,13 @@ def test_semi_join_cut_does_not_change_results(spark, name):
     assert cut == plain
     if name.startswith("patient"):    # (the supplier statement's plan starts at its checkpoint)
         assert "LeftSemi" in plan
+
+
+@pytest.mark.parametrize("name", ["supplier_statement", "running_balance", "statement_row_id"])
+def test_statements_with_many_slices_match_oracle(spark, duck, name, monkeypatch):
+    import statera.operators.running as running
+    monkeypatch.setattr(running, "ROWS_PER_SLICE", 7)      # tens of slices on the small ledger
+    df = entry.queries()[name](spark, SF)
+    got = collections.Counter(tuple(r) for r in df.collect())
+    want = collections.Counter(tuple(r) for r in duck.sql(entry.oracle_sql()[name]).fetchall())
+    assert got == want
