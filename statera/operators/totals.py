@@ -42,7 +42,7 @@ def report_order(df: DataFrame, leading: Sequence, skip: Sequence[str] = ()) ->
     named = {c.lower() for c in [*leading, *skip] if isinstance(c, str)}
     lead = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in leading]
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c.lower() not in named]
-    return df.orderBy(*lead, *rest, F.rand(17)).select(*df.columns)
+    return df.orderBy(*lead, *rest, F.rand(17))
 
 
 def with_group_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
