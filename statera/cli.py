@@ -58,6 +58,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
     ap.add_argument("--show", type=int, default=0)
     ap.add_argument("--master", default=None, help="Spark master (default: the environment's)")
+    ap.add_argument("--empty-strings-as-null", action="store_true",
+                    help="read '' as NULL (for tables not normalised when landed; disables string pushdown)")
     return ap
 
 
@@ -92,8 +94,9 @@ def main(argv: list[str] | None = None) -> int:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
-    tables = (FinanceTables.from_parquet(spark, args.tables) if args.tables
-              else FinanceTables.from_catalog(spark, args.catalog))
+    norm = args.empty_strings_as_null
+    tables = (FinanceTables.from_parquet(spark, args.tables, normalize=norm) if args.tables
+              else FinanceTables.from_catalog(spark, args.catalog, normalize=norm))
     df = build(args, tables)
     if args.show:
         df.show(args.show, truncate=False)

@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 from .schema import RELATIONS
-from .tables import FinanceTables
+from .tables import FinanceTables, empty_strings_as_null
 
 BUCKET_KEYS: dict[str, str] = {
     "ap_invoices_all": "invoice_id",
@@ -44,11 +44,12 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str, out_dir: str, files: i
 
 def land_tables(spark: SparkSession, source: FinanceTables, database: str = "default", buckets: int = 8,
                 relations: Iterable[str] = RELATIONS, parallel: int = 4,
-                location: str | None = None) -> FinanceTables:
+                location: str | None = None, normalize: bool = True) -> FinanceTables:
     """Write every relation of ``source`` as a table of ``database`` (bucketed facts),
     and return FinanceTables reading them back from the catalog. With ``location`` the
     tables' files go to ``<location>/<relation>`` (e.g. a shared folder), otherwise to
-    the catalog's warehouse.
+    the catalog's warehouse. ``normalize`` writes '' as NULL (once, here), so readers
+    need no per-read normalisation and keep their predicate pushdown.
 
     Relations are independent, so up to ``parallel`` of them are written at the same
     time (Spark runs jobs submitted from several threads side by side and shares the
@@ -59,7 +60,8 @@ def land_tables(spark: SparkSession, source: FinanceTables, database: str = "def
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def write(name: str) -> None:
-        writer = source.table(name).write.mode("overwrite").format("parquet")
+        df = source.table(name)
+        writer = (empty_strings_as_null(df) if normalize else df).write.mode("overwrite").format("parquet")
         if location:
             writer = writer.option("path", f"{location.rstrip('/')}/{name}")
         key = BUCKET_KEYS.get(name)

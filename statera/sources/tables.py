@@ -13,7 +13,10 @@ from .schema import RELATIONS, SCHEMAS
 
 
 def empty_strings_as_null(df: DataFrame) -> DataFrame:
-    """Oracle stores '' as NULL; normalise once at ingest so NVL / IS NULL agree."""
+    """Oracle stores '' as NULL; normalise once at ingest so NVL / IS NULL agree.
+
+    Apply it when the data lands (``landing.land_tables(normalize=True)``), not on every
+    read: a filter on a wrapped column can no longer be pushed into the parquet scan."""
     cols = [F.nullif(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType)
             else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
@@ -55,9 +58,12 @@ class FinanceTables:
         return FinanceTables(lambda n: frames[n] if n in frames else base(n))
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str, normalize: bool = True,
+    def from_parquet(cls, spark: SparkSession, root: str, normalize: bool = False,
                      use_schema: bool = True) -> "FinanceTables":
-        """One parquet file or folder per relation under ``root`` (``<root>/<relation>[.parquet]``)."""
+        """One parquet file or folder per relation under ``root`` (``<root>/<relation>[.parquet]``).
+
+        ``normalize=True`` turns '' into NULL on read (for sources that were not
+        normalised when landed); it costs the predicate pushdown of string filters."""
 
         def load(name: str) -> DataFrame:
             path = os.path.join(root, name)
@@ -73,7 +79,7 @@ class FinanceTables:
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str | None = None,
-                     normalize: bool = True) -> "FinanceTables":
+                     normalize: bool = False) -> "FinanceTables":
         def load(name: str) -> DataFrame:
             df = spark.table(f"{database}.{name}" if database else name)
             return empty_strings_as_null(df) if normalize else df

@@ -21,12 +21,26 @@ def test_parquet_loader_applies_schema_and_nulls_empty_strings(spark, tmp_path):
     rows = [dict(vendor_id=1, vendor_name="", segment1="1", party_id=5),
             dict(vendor_id=2, vendor_name="B", segment1="2", party_id=6)]
     frame(spark, "poz_suppliers_v", rows).write.parquet(str(tmp_path / "poz_suppliers_v"))
-    t = FinanceTables.from_parquet(spark, str(tmp_path))
+    t = FinanceTables.from_parquet(spark, str(tmp_path), normalize=True)
     got = sorted((r.vendor_id, r.vendor_name) for r in t.poz_suppliers_v.collect())
     assert got == [(1, None), (2, "B")]
     assert dict(t.poz_suppliers_v.dtypes)["party_id"] == "bigint"
 
 
+def test_plain_reads_push_string_filters_into_the_scan(spark, tmp_path):
+    rows = [dict(vendor_id=1, vendor_name="A", segment1="1"), dict(vendor_id=2, vendor_name="B", segment1="2")]
+    frame(spark, "poz_suppliers_v", rows).write.parquet(str(tmp_path / "poz_suppliers_v"))
+    q = FinanceTables.from_parquet(spark, str(tmp_path)).poz_suppliers_v.filter(F.col("vendor_name") == "B")
+    assert "EqualTo(vendor_name,B)" in q._jdf.queryExecution().executedPlan().toString()
+    assert [r.vendor_id for r in q.collect()] == [2]
+
+
+def test_landing_normalises_empty_strings_once(spark):
+    src = FinanceTables({"hz_parties": spark.createDataFrame([(1, ""), (2, "P")], "party_id long, party_name string")})
+    landed = land_tables(spark, src, "landing_norm", relations=["hz_parties"])
+    assert sorted((r.party_id, r.party_name) for r in landed.hz_parties.collect()) == [(1, None), (2, "P")]
+
+
 def test_landing_writes_bucketed_tables_with_same_rows(spark):
     src = derive_tables(spark, SF)
     names = ["ap_invoices_all", "ap_payment_schedules_all", "poz_suppliers_v"]
