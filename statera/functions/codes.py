@@ -29,6 +29,23 @@ def flexfield_or_sentinel(category: Column | str, attribute: Column | str, conte
     return F.when(_col(category) == F.lit(context), _col(attribute)).otherwise(F.lit(sentinel))
 
 
+def flexfield_matches(category: Column | str, attribute: Column | str, value: str,
+                      context: str = PATIENT_CONTEXT, sentinel: str | None = None) -> Column:
+    """Filter form of ``flexfield(...) == value`` (with ``sentinel``: of
+    ``flexfield_or_sentinel(...) == value``) as plain column predicates.
+
+    In a filter a NULL result drops the row like false, so the CASE reduces to
+    ``category = context AND attribute = value`` - plus, only when ``value`` is the
+    sentinel itself, every row outside the context. Plain comparisons reach the parquet
+    scan as pushed filters; the CASE form does not.
+    """
+    in_context = _col(category) == F.lit(context)
+    match = in_context & (_col(attribute) == F.lit(value))
+    if sentinel is not None and value == sentinel:
+        return match | ~F.coalesce(in_context, F.lit(False))
+    return match
+
+
 def receipt_class(number: Column | str, prefix: str = DEPOSIT_PREFIX) -> Column:
     """Receipts numbered with the deposit prefix are deposits, all others (NULL too) receipts."""
     return F.when(F.substring(_col(number), 1, len(prefix)) == F.lit(prefix), F.lit("DEP")).otherwise(F.lit("RCPT"))

@@ -18,8 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import date_text, day_between, exact, flexfield, flexfield_or_sentinel, nvl, receipt_class
-from ..params import STATUS_APPLIED, STATUS_REVERSED, STATUS_UNAPPLIED, PatientParams
+from ..functions import (date_text, day_between, exact, flexfield, flexfield_matches, flexfield_or_sentinel, nvl,
+                         receipt_class)
+from ..params import NON_PATIENT_SENTINEL, STATUS_APPLIED, STATUS_REVERSED, STATUS_UNAPPLIED, PatientParams
 from ..sources.tables import FinanceTables
 from .fx import applied_to_functional, exchange_rate, rate, rate_table, to_functional, with_rate
 from .joins import restrict_to
@@ -46,18 +47,31 @@ def _semi(df: DataFrame, keys: DataFrame, left_key: str, right_key: str) -> Data
 SELECTOR = "selector_id"
 
 
-def _select(df: DataFrame, selector: Column, p: PatientParams) -> DataFrame:
+def _select(df: DataFrame, p: PatientParams, attribute: str, category: str | None = None,
+            sentinel: bool = False) -> DataFrame:
     """Keep the rows the patient selects and carry the selecting value as ``selector_id``.
 
-    With ``p.patient_id`` None every patient is reported in one run: rows are kept when
-    their selecting value exists, and ``selector_id`` (which can differ from the shown
-    ``patient_id``: receipts are selected by their invoice) tells the statements apart.
-    Filtering that result by one ``selector_id`` gives exactly the one-patient run.
+    The selecting value is ``attribute`` itself (receipts) or the flexfield
+    ``CASE WHEN category = context THEN attribute [ELSE sentinel] END`` (transactions).
+    One patient: the test is written as plain column predicates
+    (``functions.flexfield_matches``) so it is pushed into the scan. With
+    ``p.patient_id`` None every patient is reported in one run: rows are kept when their
+    selecting value exists, and ``selector_id`` (which can differ from the shown
+    ``patient_id``: receipts are selected by their invoice) tells the statements apart;
+    filtering that result by one ``selector_id`` gives exactly the one-patient run.
     """
-    df = df.withColumn(SELECTOR, selector)
+    if category is None:
+        selector = F.col(attribute)
+    else:
+        selector = (flexfield_or_sentinel if sentinel else flexfield)(category, attribute)
     if p.patient_id is None:
-        return df.filter(F.col(SELECTOR).isNotNull())
-    return df.filter(F.col(SELECTOR) == F.lit(p.patient_id))
+        return df.withColumn(SELECTOR, selector).filter(F.col(SELECTOR).isNotNull())
+    if category is None:
+        test = F.col(attribute) == F.lit(p.patient_id)
+    else:
+        test = flexfield_matches(category, attribute, p.patient_id,
+                                 sentinel=NON_PATIENT_SENTINEL if sentinel else None)
+    return df.filter(test).withColumn(SELECTOR, F.lit(p.patient_id))
 
 
 def _single(p: PatientParams) -> bool:
@@ -94,7 +108,7 @@ def invoice_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
     """Invoice lines x GL distributions of the patient's invoices with applied totals and
     functional amounts, before grouping."""
     fx = p.fx
-    trx = _select(t.ra_customer_trx_all, flexfield_or_sentinel("attribute_category", "attribute1"), p)
+    trx = _select(t.ra_customer_trx_all, p, "attribute1", "attribute_category", sentinel=True)
     if p.options.invoice_period_on_trx_date:
         trx = trx.filter(F.col("trx_date").between(F.lit(p.from_date), F.lit(p.to_date)))
     trx = trx.select("customer_trx_id", "trx_number", "trx_date", "bill_to_customer_id", "invoice_currency_code",
@@ -182,9 +196,9 @@ def _receipt_columns(fx, functional_applied: Column, functional_original: Column
 def receipt_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
     """Applied receipts whose *invoice* belongs to the patient (rows before grouping)."""
     fx = p.fx
-    sel = (flexfield_or_sentinel if p.options.receipt_selector_sentinel else flexfield)(
-        "attribute_category", "attribute1")
-    trx = _select(t.ra_customer_trx_all, sel, p).select("customer_trx_id", "invoice_currency_code", SELECTOR)
+    trx = _select(t.ra_customer_trx_all, p, "attribute1", "attribute_category",
+                  sentinel=p.options.receipt_selector_sentinel).select(
+        "customer_trx_id", "invoice_currency_code", SELECTOR)
     app = t.ar_receivable_applications_all.filter(F.col("status") == STATUS_APPLIED).select(
         "cash_receipt_id", "applied_customer_trx_id", "amount_applied", "gl_date")
     j = (trx.join(app, F.col("customer_trx_id") == F.col("applied_customer_trx_id"))
@@ -234,14 +248,14 @@ def unapplied_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
     fx = p.fx
     rc = _receipts(t, p, in_period=True)
     if p.options.unapplied_selector == "receipt":
-        rc = _select(rc, F.col("receipt_attribute1"), p)
+        rc = _select(rc, p, "receipt_attribute1")
     app = t.ar_receivable_applications_all.filter(F.col("status") == STATUS_UNAPPLIED).select(
         "cash_receipt_id", "applied_customer_trx_id", "amount_applied", "gl_date")
     trx = t.ra_customer_trx_all.select("customer_trx_id", "attribute_category", "attribute1")
     j = (rc.join(app, "cash_receipt_id")
          .join(trx, F.col("applied_customer_trx_id") == F.col("customer_trx_id"), "left"))
     if p.options.unapplied_selector == "invoice":
-        j = _select(j, flexfield_or_sentinel("attribute_category", "attribute1"), p)
+        j = _select(j, p, "attribute1", "attribute_category", sentinel=True)
     j = j.join(receipt_applied_total(t, rc if _single(p) else None), "cash_receipt_id", "left")
     j = with_rate(j, rate_table(t, fx), "currency_code", "receipt_date", "rct")
     cols = _receipt_columns(

@@ -256,3 +256,22 @@ def test_receipt_row_shows_receipt_patient_but_is_selected_by_invoice(spark):  #
     rows = receipt_branch(t, params()).collect()
     assert [r.patient_id for r in rows] == ["P99"]
     assert receipt_branch(t, PatientParams(dt.date(2024, 1, 1), dt.date(2024, 12, 31), "P99")).count() == 0
+
+
+def test_patient_selection_is_pushed_into_the_scan(spark, tmp_path):
+    from statera.sources import FinanceTables
+    frame(spark, "ra_customer_trx_all", [trx(1), trx(2, category="OTHER")]).write.parquet(
+        str(tmp_path / "ra_customer_trx_all"))
+    t = FinanceTables.from_parquet(spark, str(tmp_path))
+    from statera.operators.patient import _select
+    q = _select(t.ra_customer_trx_all, params(), "attribute1", "attribute_category", sentinel=True)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")     # show the full pushed-filter list
+    try:
+        plan = q._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(attribute1,P7)" in plan and "EqualTo(attribute_category," in plan
+    assert [r.customer_trx_id for r in q.collect()] == [1]
+    zzz = PatientParams(dt.date(2024, 1, 1), dt.date(2024, 12, 31), "ZZZ")
+    z = _select(t.ra_customer_trx_all, zzz, "attribute1", "attribute_category", sentinel=True)
+    assert [r.customer_trx_id for r in z.collect()] == [2]
