@@ -35,8 +35,6 @@ from ..session import ensure_checkpoint_dir
 from .joins import broadcast_bounded
 
 SLICE = "_slice"
-
-
 ROWS_PER_SLICE = 1_000_000
 
 
@@ -47,9 +45,9 @@ def sequence_and_running_total(df: DataFrame, order: Sequence[Column], amount: s
     """Row number and running sum of ``amount`` over ``order`` (per ``partition_by``).
 
     ``slices`` defaults to one slice per ``rows_per_slice`` (default ``ROWS_PER_SLICE``)
-    input rows (counted on the cached input), so a small ledger is one slice and a large one is cut so that no
-    window task holds more than about ``rows_per_slice`` rows; the carried-offset table
-    then has at most ``slices`` rows.
+    input rows, counted on the cached input: a small ledger is one slice, a large one is
+    cut so that no window task holds more than about ``rows_per_slice`` rows, and the
+    carried-offset table has at most ``slices`` rows.
     """
     spark = df.sparkSession
     groups = list(partition_by)
