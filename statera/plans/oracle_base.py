@@ -47,7 +47,8 @@ ap_payment_schedules_all AS (
 ap_trial_balances AS (
   SELECT l_orderkey * 1000000 + l_suppkey AS invoice_id, l_suppkey AS vendor_id,
          CASE WHEN l_orderkey % 11 = 0 THEN NULL
-              ELSE SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2))) END AS accounted_dr,
+              ELSE SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)))
+         END AS accounted_dr,
          SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS accounted_cr
   FROM lineitem GROUP BY l_orderkey, l_suppkey),
 ap_invoice_distributions_all AS (
@@ -55,7 +56,8 @@ ap_invoice_distributions_all AS (
          CAST(l_shipdate AS DATE) AS accounting_date FROM lineitem),
 ap_invoice_payments_all AS (
   SELECT l_orderkey * 1000000 + l_suppkey AS invoice_id, l_orderkey AS check_id,
-         CAST(l_extendedprice AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS amount,
+         CAST(l_extendedprice AS DECIMAL(18,2)) * (CAST(1 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2)))
+           AS amount,
          CASE WHEN l_discount = 0 THEN NULL
               ELSE CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(4,2)) END AS discount_taken,
          CAST(l_shipdate AS DATE) + 15 AS accounting_date
