@@ -8,7 +8,8 @@
 
 Tables come from ``--tables`` (one parquet folder per relation) or ``--catalog``
 (a database of tables). The result is written by Spark's writers (parquet, csv,
-json or orc) to ``--out``; with ``--show N`` the first rows are printed instead.
+json or orc) to ``--out``; with ``--show N`` the first rows are printed instead, with
+``--explain`` the formatted physical plan.
 """
 
 from __future__ import annotations
@@ -57,6 +58,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--out")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
     ap.add_argument("--show", type=int, default=0)
+    ap.add_argument("--explain", action="store_true",
+                    help="print the formatted physical plan (pushed filters, exchanges) instead of running")
     ap.add_argument("--master", default=None, help="Spark master (default: the environment's)")
     ap.add_argument("--empty-strings-as-null", action="store_true",
                     help="read '' as NULL (for tables not normalised when landed; disables string pushdown)")
@@ -98,6 +101,9 @@ def main(argv: list[str] | None = None) -> int:
     tables = (FinanceTables.from_parquet(spark, args.tables, normalize=norm) if args.tables
               else FinanceTables.from_catalog(spark, args.catalog, normalize=norm))
     df = build(args, tables)
+    if args.explain:
+        df.explain("formatted")
+        return 0
     if args.show:
         df.show(args.show, truncate=False)
         return 0

@@ -34,3 +34,9 @@ def test_cli_reports_match_library(spark, tmp_path):
                      "--patient", "P7", "--variant", "G2", "--out", out, "--format", "csv"]) == 0
     p = PatientParams(dt.date(1998, 1, 1), dt.date(1998, 6, 30), "P7", options=G2)
     assert spark.read.option("header", True).csv(out).count() == reports.patient_account_statement(t, p).count()
+
+
+def test_cli_arguments():
+    args = cli.parser().parse_args(["supplier-statements", "--catalog", "fin", "--from", "2024-01-01",
+                                    "--to", "2024-06-30", "--explain"])
+    assert args.explain and args.supplier is None and args.from_date == dt.date(2024, 1, 1)
