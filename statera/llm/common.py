@@ -63,3 +63,10 @@ def crc32_mod(doc_id: Column, n: int) -> Column:
 def with_row(df: DataFrame) -> Column:
     """All columns of ``df`` as one struct, so that helper columns can't clash with them."""
     return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of few rows, so that very long texts don't meet by the thousand in one batch.
+    Set for the session, as the DataFrames that need it run after their function has returned."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))

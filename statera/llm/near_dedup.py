@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import landed, scratch, session_conf, table, with_row
+from .common import bounded_batches, landed, scratch, table, with_row
 
 BANDS, ROWS = 44, 6
 SLOTS = BANDS * ROWS
@@ -43,7 +43,6 @@ PIVOTS = 16
 CHUNK = 200_000  # shingles that are sketched together
 CACHED_WORDS = 200_000
 LAZY = 8  # ranks for which permutations are traced back; after that they are held
-ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}
 U = np.uint64
 
 
@@ -225,10 +224,10 @@ class NearDuplicates:
     def __init__(self, docs: DataFrame):
         self.docs, self.spark = docs, docs.sparkSession
         self.work = scratch(self.spark, "near-dedup")
+        bounded_batches(self.spark)
 
     def _land(self, df: DataFrame, name: str) -> DataFrame:
-        with session_conf(self.spark, **ARROW):
-            return landed(df, f"{self.work}/{name}")
+        return landed(df, f"{self.work}/{name}")
 
     def _verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
         """a, b, inter, na, nb of pairs whose sizes allow a link."""
