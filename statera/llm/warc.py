@@ -109,7 +109,8 @@ class Bundle:
 
         fs, path = store(folder)
         self.name = f"{uuid.uuid4().hex}.warc.zst"
-        self.out, self.pack = fs.open_output_stream(f"{path}/{self.name}"), zstandard.ZstdCompressor(LEVEL)
+        self.out = fs.open_output_stream(f"{path}/{self.name}", compression=None)  # not by the name's ending
+        self.pack = zstandard.ZstdCompressor(LEVEL)
         self.parts: list[bytes] = []
         self.raw = self.packed = 0
         self.sizes: list[tuple[int, int]] = []
