@@ -70,3 +70,27 @@ def bounded_batches(spark: SparkSession) -> None:
     Set for the session, as the DataFrames that need it run after their function has returned."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
+
+
+FILTER_SLOTS = 1 << 20  # of a slot filter: one byte each, whatever the number of keys
+BITMAP = 32768  # bits in a bitmap of bitmap_construct_agg
+
+
+def slot_filter(keys: DataFrame, key: str) -> Column:
+    """A filter of fixed size over the bigint column ``key``, as a literal for ``passes``. It lets all
+    keys through, and others at the rate at which slots are taken; it only ever saves work."""
+    slot = F.pmod(F.col(key), F.lit(FILTER_SLOTS))
+    rows = keys.groupBy(F.bitmap_bucket_number(slot).alias("b")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()  # 33 x 4 KB at most
+    out = bytearray(FILTER_SLOTS)
+    for r in rows:
+        first = (r["b"] - 1) * BITMAP + 1  # bucket 1 holds slots 1 to 32768; slot 0 is in bucket 0
+        for i, byte in enumerate(r["bits"]):
+            for bit in range(8) if byte else ():
+                if byte >> bit & 1:
+                    out[first + i * 8 + bit] = 1
+    return F.lit(bytes(out))
+
+
+def passes(known: Column, key: Column) -> Column:
+    return F.substring(known, F.pmod(key, F.lit(FILTER_SLOTS)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")

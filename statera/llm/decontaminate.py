@@ -7,7 +7,7 @@ With ``k + w - 1`` equal to the window length both sides keep the same smallest
 window, so every shared span of that length shares a fingerprint. Items shorter than the window
 form length classes of their own with ``k + w - 1`` equal to their length.
 
-1. benchmark: fingerprints per length class, and a bit filter of fixed size over them;
+1. benchmark: fingerprints per length class, and a slot filter of fixed size over them;
 2. one pass over the documents: word count, fingerprints, and the words of those documents
    whose fingerprints pass the filter (a superset; text is never shuffled);
 3. the surviving fingerprints are joined with the benchmark's, and each hit is extended to the
@@ -24,12 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import landed, lower_az, scratch, table, with_row
+from .common import landed, lower_az, passes, scratch, slot_filter, table, with_row
 
 WINDOW, GRAM = 10, 4
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-FILTER_BITS = 1 << 20  # of the bit filter: 1 MB as one byte a slot, whatever the benchmark's size
-BITMAP = 32768  # bits in a bitmap of bitmap_construct_agg
 
 
 def words_of(text: Column) -> Column:
@@ -65,9 +63,8 @@ def windows_around(words: Column, grams: Column, fps: Column, length: int) -> Co
 
 
 def passing(fps: Column, known: Column, length: int) -> Column:
-    """The fingerprints whose slot in the bit filter is set, with their length class."""
-    slot = lambda fp: F.pmod(fp, F.lit(FILTER_BITS)).cast("int") + 1
-    return F.transform(F.filter(fps, lambda fp: F.substring(known, slot(fp), F.lit(1)) == F.lit(b"\x01")),
+    """The fingerprints that pass the slot filter, with their length class."""
+    return F.transform(F.filter(fps, lambda fp: passes(known, fp)),
                        lambda fp: F.struct(F.lit(length).alias("len"), fp.alias("fp")))
 
 
@@ -134,20 +131,7 @@ class Benchmark:
         self.windows = landed(sets, f"{work}/windows")
         self.sets = landed(self.windows.groupBy("set_id").agg(F.first("item_ids").alias("item_ids")),
                            f"{work}/sets")
-        self.filter = self._filter()
-
-    def _filter(self) -> bytearray:
-        slot = F.pmod("fp", F.lit(FILTER_BITS))
-        rows = self.fingerprints.groupBy(F.bitmap_bucket_number(slot).alias("b")) \
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()  # 32 x 4 KB at most
-        out = bytearray(FILTER_BITS + 1)
-        for r in rows:
-            first = (r["b"] - 1) * BITMAP + 1  # bucket 1 holds slots 1 to 32768; slot 0 is in bucket 0
-            for i, byte in enumerate(r["bits"]):
-                for bit in range(8) if byte else ():
-                    if byte >> bit & 1:
-                        out[first + i * 8 + bit] = 1
-        return out
+        self.filter = slot_filter(self.fingerprints, "fp")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -156,13 +140,12 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     work = scratch(spark, "decontaminate")
     bench = Benchmark(items, work)
-    known = F.lit(bytes(bench.filter))
     read = docs.select(with_row(docs).alias("row"), words_of(docs["text"]).alias("words")) \
         .withColumn("n_words", F.size("words").cast("long"))
     hits = F.array().cast("array<struct<len:int,fp:bigint>>")
     for n in bench.lengths:
         read = with_winnowed(with_grams(read, n), n, into=f"fps{n}").drop("grams")
-        hits = F.concat(hits, passing(F.col(f"fps{n}"), known, n))
+        hits = F.concat(hits, passing(F.col(f"fps{n}"), bench.filter, n))
     read = read.select("row", "n_words", "words", hits.alias("hits")).select(
         F.monotonically_increasing_id().alias("uid"), "row", "n_words",
         F.when(F.size("hits") > 0, F.col("words")).alias("words"), "hits")
