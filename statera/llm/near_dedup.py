@@ -11,12 +11,17 @@ two-word shingles (its whole sequence if it has fewer words). Two documents are
    random permutation of its own; a slot keeps the smallest. All shingles put one rank at a time,
    and a signature is done as soon as every slot has one, as later ranks can't be smaller. With 44
    bands of 6 slots a linked pair shares no band with a probability under 2e-6.
-3. In each band bucket all members are verified against one pivot on their full sets, then linked
-   members are united. Only a bucket that still holds several groups goes on: up to 16 of the members
-   outside the pivot's group become pivots and are verified against all members of other groups, but
-   for pairs that the triangle inequality of the Jaccard distance rules out; it ends when every bucket
-   is one group or all its members were pivots. So no link inside a bucket is lost, no pairs of a group
-   are listed, and a group of near copies of any size is joined by one pivot.
+3. In each band bucket all members are verified on their full sets against one pivot, the member that
+   meets most others over all bands (the original of a group of copies is in nearly every bucket of
+   theirs), then linked members are united. Only buckets that still hold several groups go on. Their
+   members' shingles are split by how many of these members have them: pairs that share a rare one
+   (up to ``RARE`` members) are listed with the number they share, which is linear, and verified if
+   this number and their frequent shingles suffice for a link. Pairs without a rare shingle in common
+   need enough frequent ones on both sides, which rules out most members without looking at pairs; up
+   to 64 of the rest outside the pivot's group become pivots at a time and meet the members of other
+   groups that this bound, the sizes and the triangle inequality of the Jaccard distance leave; it ends
+   when every bucket is one group or all its members were pivots. No link inside a bucket is lost, and
+   a group of near copies of any size is joined by one pivot.
 4. Union-find: hooking each label to the smallest it is linked with and halving paths, by joins.
 
 Null or empty texts have an empty set and are linked with nothing. Rows with a null id take no part:
@@ -39,7 +44,8 @@ from .common import bounded_batches, landed, scratch, table, with_row
 BANDS, ROWS = 44, 6
 SLOTS = BANDS * ROWS
 PERCENT = 80
-PIVOTS = 16
+PIVOTS = 64
+RARE = 16  # members of unresolved buckets that share a rare shingle at most
 CHUNK = 200_000  # shingles that are sketched together
 CACHED_WORDS = 200_000
 LAZY = 8  # ranks for which permutations are traced back; after that they are held
@@ -180,6 +186,15 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["a", "b", "inter", "na", "nb"])
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("members")]
+        nids = np.repeat(batch.column("nid").to_numpy(), [len(x) for x in sets])
+        for i in range(0, len(nids), CHUNK):
+            yield pa.RecordBatch.from_arrays([pa.array(nids[i:i + CHUNK]),
+                                              pa.array(np.concatenate(sets)[i:i + CHUNK])], ["nid", "h"])
+
+
 def sketched(docs: DataFrame) -> DataFrame:
     """doc_id, content (digest of the text), n, k0 and k1 (digest of the set), bands."""
     text = F.coalesce(docs["text"], F.lit("")).cast("binary")
@@ -196,17 +211,23 @@ def united(edges: DataFrame, work: str) -> DataFrame:
     while not edges.isEmpty():
         turn += 1
         hook = edges.groupBy("hi").agg(F.min("lo").alias("to"))
-        further = F.coalesce("next", "to").alias("to")
-        hook = landed(hook, f"{work}/hook{turn}")
-        step = hook.select(F.col("hi").alias("to"), F.col("to").alias("next"))
-        hook = landed(hook.join(step, "to", "left").select("hi", further), f"{work}/halved{turn}")
+        hook, halving = landed(hook, f"{work}/hook{turn}"), 0
+        while True:  # until every path ends at its root
+            halving += 1
+            step = hook.select(F.col("hi").alias("to"), F.col("to").alias("next"))
+            hook = landed(hook.select("hi", "to").join(step, "to", "left").select(
+                "hi", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")),
+                f"{work}/halved{turn}-{halving}")
+            if hook.where("moved").isEmpty():
+                break
         step = hook.select(F.col("hi").alias("at"), F.col("to").alias("next"))
 
         def moved(df: DataFrame, name: str, step: DataFrame = step) -> DataFrame:
             return df.join(step.withColumnRenamed("at", name), name, "left") \
                 .withColumn(name, F.coalesce("next", name)).drop("next")
         own = hook.select(F.col("hi").alias("nid"), F.col("to").alias("label"))
-        labels = landed(own if labels is None else moved(labels, "label").unionByName(own), f"{work}/labels{turn}")
+        labels = landed(own if labels is None else moved(labels, "label").select("nid", "label").union(own),
+                        f"{work}/labels{turn}")
         edges = landed(moved(moved(edges, "hi"), "lo").where("hi <> lo")
                        .select(*ordered(F.col("hi"), F.col("lo"))).distinct(), f"{work}/edges{turn}")
     if labels is None:
@@ -243,8 +264,12 @@ class NearDuplicates:
             F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
         self.classes = classes = self._land(classes.withColumn("nid", F.monotonically_increasing_id()), "classes")
         rows = classes.select("nid", F.explode("bands").alias("band"))
-        pivots = rows.groupBy("band").agg(F.min("nid").alias("pivot"), F.count("*").alias("c")).where("c > 1")
-        members = self._land(rows.join(pivots.drop("c"), "band"), "members")
+        counts = rows.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
+        members = self._land(rows.join(counts, "band"), "shared")
+        weight = members.groupBy("nid").agg(F.sum("c").alias("weight"))
+        pivots = members.join(weight, "nid").groupBy("band") \
+            .agg(F.max(F.struct("weight", "nid")).getField("nid").alias("pivot"))
+        members = self._land(members.select("band", "nid").join(pivots, "band"), "members")
 
         wanted = members.select("nid").distinct().join(classes.select("nid", "doc_id", "k0", "k1"), "nid")
         wanted = self._land(wanted, "wanted")
@@ -278,7 +303,7 @@ class NearDuplicates:
         left = members.where("nid <> pivot").join(known, ["nid", "pivot"], "left").select(
             "band", "nid", "pivot", F.coalesce("d", F.lit((100 - PERCENT) / 100)).alias("near"),
             F.coalesce("d", F.lit(1.0)).alias("far"))
-        turn = 0
+        left, turn = left.join(self.classes.select("nid", "n"), "nid"), 0
         while True:
             turn += 1
             label = labels.select("nid", "label")
@@ -287,22 +312,58 @@ class NearDuplicates:
                 .join(label.toDF("pivot", "of_pivot"), "pivot", "left") \
                 .withColumn("of_pivot", F.coalesce("of_pivot", "pivot"))
             left = self._land(left, f"left{turn}")
+            still = left.where("label <> of_pivot").select("band").distinct()
+            left = self._land(left.join(still, "band", "left_semi"), f"open{turn}")
+            if turn == 1:
+                left, links = self._possible(left, sets)
+                labels = self._joined(labels, links, 0)
+                continue
             outside = left.where("label <> of_pivot")
             if outside.isEmpty():
                 return labels
             slot = F.pmod(F.xxhash64("nid"), F.lit(PIVOTS))
-            pivots = outside.groupBy("band", slot.alias("slot")).agg(F.min("nid").alias("next")) \
-                .join(left.select("band", F.col("nid").alias("next"), F.col("label").alias("next_label"),
-                                  F.col("near").alias("next_near"), F.col("far").alias("next_far")), ["band", "next"])
-            pivots = self._land(pivots, f"pivots{turn}")
-            least_d = F.greatest(F.col("near") - F.col("next_far"), F.col("next_near") - F.col("far"))
-            pairs = left.join(pivots, "band").where(F.col("label") != F.col("next_label")) \
-                .where(least_d <= (100 - PERCENT) / 100 + 1e-9) \
-                .select(F.least("nid", "next").alias("a"), F.greatest("nid", "next").alias("b")).distinct()
+            chosen = outside.groupBy("band", slot.alias("slot")).agg(F.min("nid").alias("nid")).drop("slot")
+            pivots = self._land(left.join(chosen, ["band", "nid"]).select("band", *[
+                F.col(c).alias(f"p_{c}") for c in ("nid", "n", "shared", "label", "near", "far")]), f"pivots{turn}")
+            apart = F.greatest(F.col("near") - F.col("p_far"), F.col("p_near") - F.col("far"))
+            pairs = left.join(pivots, "band").where(F.col("label") != F.col("p_label")) \
+                .where("9 * least(shared, p_shared) >= 4 * (n + p_n) AND 5 * least(n, p_n) >= 4 * greatest(n, p_n)") \
+                .where(apart <= (100 - PERCENT) / 100 + 1e-9) \
+                .select(F.least("nid", "p_nid").alias("a"), F.greatest("nid", "p_nid").alias("b")).distinct()
             links = self._verified(pairs, sets, f"verified{turn}").where(_linked()).select("a", "b")
-            whole = labels.select(F.col("nid").alias("a"), F.col("label").alias("b")).unionByName(links)
-            labels = united(whole, f"{self.work}/united{turn}")
-            left = left.join(pivots.select("band", F.col("next").alias("nid")), ["band", "nid"], "left_anti")
+            labels = self._joined(labels, links, turn)
+            left = left.join(pivots.select("band", F.col("p_nid").alias("nid")), ["band", "nid"], "left_anti")
+
+    def _possible(self, left: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members with ``shared``, the number of their frequent shingles, without those that have too few
+        for a link with the smallest partner their bucket can offer; and the links between members that
+        share a rare shingle."""
+        rows = sets.join(left.select("nid").distinct(), "nid").mapInArrow(_shingles, "nid long, h long")
+        counts = rows.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
+        rows = self._land(rows.join(counts, "h", "left"), "shingles")
+        frequent = self._land(rows.groupBy("nid").agg(F.count_if(F.col("c") > RARE).alias("shared"))
+                              .join(self.classes.select("nid", "n"), "nid"), "frequent")
+        rare = rows.where(F.col("c") <= RARE)
+        pairs = rare.select("h", F.col("nid").alias("a")).join(rare.select("h", F.col("nid").alias("b")), "h") \
+            .where("a < b").groupBy("a", "b").agg(F.count("*").alias("r"))
+        able = pairs.join(frequent.toDF("a", "fa", "na"), "a").join(frequent.toDF("b", "fb", "nb"), "b") \
+            .where("9 * (least(fa, fb) + r) >= 4 * (na + nb)").select("a", "b")
+        links = self._verified(able, sets, "verified-rare").where(_linked()).select("a", "b")
+        smallest = left.groupBy("band").agg(F.min("n").alias("smallest"))
+        # overlap >= 4/9 of both sizes together, and the partner has 4/5 of the size at least
+        left = left.join(frequent.drop("n"), "nid").join(smallest, "band") \
+            .where("45 * shared >= 4 * greatest(9 * n, 5 * (n + smallest))").drop("smallest")
+        return self._land(left, "possible"), links
+
+    def _joined(self, labels: DataFrame, links: DataFrame, turn: int) -> DataFrame:
+        """``labels`` after the groups on both sides of each link have become one."""
+        for side in ("a", "b"):
+            links = links.join(labels.toDF(side, "label"), side, "left") \
+                .withColumn(side, F.coalesce("label", side)).drop("label")
+        new = united(links, f"{self.work}/united{turn}")
+        step = new.toDF("label", "next")
+        moved = labels.join(step, "label", "left").select("nid", F.coalesce("next", "label").alias("label"))
+        return self._land(moved.union(new), f"labels{turn}")
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
