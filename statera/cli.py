@@ -61,6 +61,10 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--explain", action="store_true",
                     help="print the formatted physical plan (pushed filters, exchanges) instead of running")
     ap.add_argument("--master", default=None, help="Spark master (default: the environment's)")
+    ap.add_argument("--executors", type=int, default=0, help="size shuffles for a cluster of so many executors")
+    ap.add_argument("--executor-cores", type=int, default=4)
+    ap.add_argument("--shuffled-tb", type=float, default=1.0,
+                    help="TB that the report's largest shuffle moves, after pruning (not TB scanned)")
     ap.add_argument("--empty-strings-as-null", action="store_true",
                     help="read '' as NULL (for tables not normalised when landed; disables string pushdown)")
     return ap
@@ -87,13 +91,16 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     from pyspark.sql import SparkSession
 
-    from .session import DEFAULT_CONF, ensure_checkpoint_dir
+    from .session import DEFAULT_CONF, cluster_conf, ensure_checkpoint_dir
     from .sources import FinanceTables
 
     builder = SparkSession.builder.appName(f"statera-{args.report}")
     if args.master:
         builder = builder.master(args.master)
-    for k, v in DEFAULT_CONF.items():
+    conf = dict(DEFAULT_CONF)
+    if args.executors:
+        conf.update(cluster_conf(args.shuffled_tb, args.executors, args.executor_cores))
+    for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)

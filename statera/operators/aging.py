@@ -62,17 +62,9 @@ def _vendors(t: FinanceTables, p: AgingParams) -> DataFrame:
 
 
 def with_trial_balance(df: DataFrame, t: FinanceTables) -> DataFrame:
-    """Inner join on ``invoice_id`` with the vendor equality as a residual condition.
-
-    Written as ``vendor_id - atb_vendor_id = 0`` (equal for non-NULL ids, NULL otherwise,
-    exactly like ``=``) so the planner keeps ``invoice_id`` as the only join key: the
-    invoice, schedule and trial-balance inputs then share one hash partitioning (or
-    their common bucketing) instead of a second exchange on (vendor, invoice).
-    """
-    atb = t.ap_trial_balances.select("invoice_id", F.col("vendor_id").alias("atb_vendor_id"),
-                                     "accounted_dr", "accounted_cr")
-    same_vendor = (F.col("vendor_id") - F.col("atb_vendor_id")) == 0
-    return df.join(atb, "invoice_id").filter(same_vendor)
+    """Inner join on invoice and vendor."""
+    return df.join(t.ap_trial_balances.select("invoice_id", "vendor_id", "accounted_dr", "accounted_cr"),
+                   ["invoice_id", "vendor_id"])
 
 
 def aging_detail_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
@@ -85,9 +77,10 @@ def aging_detail_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
              "invoice_date", "exchange_rate")
     ps = t.ap_payment_schedules_all.select("invoice_id", "amount_remaining")
     sites = broadcast_if_small(t.poz_supplier_sites_all_m.select("vendor_site_id"))
-    j = (inv.join(ps, "invoice_id")
+    # suppliers and sites first: with a supplier given, its few invoices meet the other facts
+    j = (inv.join(_vendors(t, p), "vendor_id").join(sites, "vendor_site_id").join(ps, "invoice_id")
          .filter(nonzero_open_amount("amount_remaining", "exchange_rate")))
-    j = with_trial_balance(j, t).join(_vendors(t, p), "vendor_id").join(sites, "vendor_site_id")
+    j = with_trial_balance(j, t)
     return j.select(
         "vendor_name", F.col("segment1").alias("supp_no"), "invoice_num",
         F.col("invoice_type_lookup_code").alias("invoice_type"), "invoice_date",
@@ -112,7 +105,7 @@ def aging_summary_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
         t.ap_lookup_codes.filter(F.col("lookup_type") == INVOICE_TYPE_LOOKUP)
         .select(F.col("lookup_code").alias("invoice_type_lookup_code")))
     terms = broadcast_if_small(t.ap_terms_val_v.select(F.col("term_id")))
-    j = with_trial_balance(inv.join(ps, "invoice_id"), t).join(_vendors(t, p), "vendor_id")
+    j = with_trial_balance(inv.join(_vendors(t, p), "vendor_id").join(ps, "invoice_id"), t)
     j = j.join(lookup, "invoice_type_lookup_code").join(terms, F.col("terms_id") == F.col("term_id"), "left")
     return j.select(
         "vendor_name", F.col("segment1").alias("vendor_number"),

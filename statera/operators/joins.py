@@ -52,34 +52,13 @@ def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
     return df
 
 
-def broadcast_bounded(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose row count is bounded by construction (e.g. one row per
-    shuffle partition), independent of the data volume."""
-    return F.broadcast(df)
-
-
-SEMI_JOIN_CONF = "statera.semiJoinMinBytes"
-_SEMI_JOIN_DEFAULT = 1 << 30
-
-
 def restrict_to(df: DataFrame, keys: DataFrame, left_key: str, right_key: str | None = None) -> DataFrame:
-    """Cut ``df`` to the rows whose ``left_key`` occurs in ``keys`` (a semi join), when
-    ``df`` is large enough for that to pay off.
-
-    A statement for one account only needs that account's facts; cutting a large fact
-    table before it is aggregated avoids shuffling every account's aggregate. On small
-    tables the extra stage costs more than it saves, so the cut is applied only when the
-    estimated size of ``df`` reaches ``statera.semiJoinMinBytes`` (default 1 GB; set 0
-    to always cut). The result is the same either way: the later join to the
-    statement's documents drops the other rows. The key set is broadcast behind the
-    usual size check.
+    """Cut ``df`` to the rows whose ``left_key`` occurs in ``keys`` (a semi join).
+
+    A statement for one account only needs that account's facts; cutting a fact table before
+    it is aggregated avoids aggregating every account's. The key set is broadcast behind the
+    usual size check; beyond it both sides are shuffled, and the runtime size can still turn
+    the join into a broadcast.
     """
-    try:
-        threshold = _parse_bytes(df.sparkSession.conf.get(SEMI_JOIN_CONF, str(_SEMI_JOIN_DEFAULT)))
-    except Exception:
-        threshold = _SEMI_JOIN_DEFAULT
-    size = estimated_bytes(df)
-    if threshold > 0 and size is not None and size < threshold:
-        return df
     k = broadcast_if_small(keys.select(F.col(right_key or left_key).alias("_restrict_key")).distinct())
     return df.join(k, F.col(left_key) == F.col("_restrict_key"), "left_semi")

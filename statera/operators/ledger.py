@@ -114,13 +114,13 @@ def _numbered(t: FinanceTables, p: StatementParams, by_vendor: bool) -> DataFram
         *LEDGER_COLUMNS, exact(nvl("opening_balance", 0)).alias("opening_balance"),
         (nvl("trx_amt", 0) + nvl("trx_wht", 0)).alias("movement"))
     return sequence_and_running_total(
-        led, ledger_order(), "movement", partition_by=["vendor_id"] if by_vendor else [],
+        led, ledger_order(), F.col("trx_date"), "movement", partition_by=["vendor_id"] if by_vendor else [],
         seed="opening_balance", row_id="row_id", running="totals")
 
 
 def statement_row_ids(t: FinanceTables, p: StatementParams) -> DataFrame:
     """Ledger rows with their sequence number (one sequence over all rows)."""
-    s = _numbered(t, p, by_vendor=False)
+    s = sequence_and_running_total(ledger_union(t, p), ledger_order(), F.col("trx_date"))
     return s.select("row_id", *LEDGER_COLUMNS)
 
 

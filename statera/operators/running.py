@@ -2,115 +2,63 @@
 
 A plain ``row_number() / sum() OVER (ORDER BY ...)`` without ``PARTITION BY`` moves every
 row into one task, and with ``PARTITION BY account`` a hot account (a third of all
-rows) still lands in one task. Here the ordered rows are cut into contiguous slices:
+rows) still lands in one task. Here the ordered rows are cut into contiguous slices, the
+values of an expression that never falls along the order (a ledger's day):
 
-1. ``repartitionByRange`` over (group keys, order keys) splits the rows into ``n``
-   balanced slices (``n`` from the row count: about a million rows per slice), each
-   a contiguous range of the total order; the slice number is
-   pinned with a reliable ``checkpoint()`` (a re-run after a lost executor must not
-   re-sample different range bounds);
-2. a window *within* each (slice, group) gives the local row number and local sum;
-3. per (slice, group) counts and sums (at most groups + n rows) are prefix-summed
-   over slices per group, a small window;
-4. only the first group of a slice can continue from earlier slices, so the carried
-   offsets have at most ``n`` rows - broadcast with that bound - and are added to the
-   local values.
+1. a window within each (group, slice) gives the local row number and local sum;
+2. counts and sums per (group, slice) are prefix-summed over the slices of each group: as
+   many rows as groups have days, whatever the number of ledger rows;
+3. the rows are joined with what lies before their slice, and it is added.
 
-``seed`` (e.g. an opening balance) is added from the first row of each group onwards,
-taken from the group's first row.
+All of it is one lazy plan of declarative steps; nothing runs while the DataFrame is built.
 
-When the counted input fits in one slice (at most ``rows_per_slice`` rows, a proven
-bound for one task) the steps collapse to a single window over the cached rows.
+``seed`` (e.g. an opening balance) is taken from the group's first row and added from there
+on. As with the plain window, the running total is NULL where the seed is NULL and as long as
+all amounts so far are NULL; NULL amounts add nothing after that.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .joins import broadcast_bounded
-
 SLICE = "_slice"
-ROWS_PER_SLICE = 1_000_000
 
 
-def sequence_and_running_total(df: DataFrame, order: Sequence[Column], amount: str,
-                               partition_by: Sequence[str] = (), seed: str | None = None,
-                               row_id: str = "row_id", running: str = "running_total",
-                               slices: int | None = None, rows_per_slice: int | None = None) -> DataFrame:
-    """Row number and running sum of ``amount`` over ``order`` (per ``partition_by``).
+def _total(a: str, b: str) -> Column:
+    """Sum of two sums, NULL only if both are."""
+    return F.when(F.col(a).isNull(), F.col(b)).when(F.col(b).isNull(), F.col(a)).otherwise(F.col(a) + F.col(b))
 
-    ``slices`` defaults to one slice per ``rows_per_slice`` (default ``ROWS_PER_SLICE``)
-    input rows, counted on the cached input: a small ledger is one slice, a large one is
-    cut so that no window task holds more than about ``rows_per_slice`` rows, and the
-    carried-offset table has at most ``slices`` rows.
-    """
-    spark = df.sparkSession
-    groups = list(partition_by)
-    keys = [F.col(c).asc_nulls_last() for c in groups] + list(order)
-    seed_col = F.col(seed) if seed else F.lit(0)
 
-    ensure_checkpoint_dir(spark)
-    # The range sampler and the range shuffle both read the input: keep it cached for
-    # the two passes so the upstream plan is evaluated once. (A lost cached block is
-    # recomputed from the deterministic upstream plan; the slice numbers themselves are
-    # pinned by the checkpoint.)
-    rows = df.withColumn("_seed", seed_col).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        per_slice = max(1, rows_per_slice or ROWS_PER_SLICE)
-        n = slices or max(1, -(-rows.count() // per_slice))
-        if n == 1:
-            return _single_slice(rows, df.columns, order, amount, groups, row_id, running)
-        ranged = (rows.repartitionByRange(n, *keys)
-                  .withColumn(SLICE, F.spark_partition_id())
-                  .checkpoint(eager=True))
-    finally:
-        rows.unpersist()
-
-    local_keys = [SLICE, *groups]
-    w = Window.partitionBy(*local_keys).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select(
-        "*",
-        F.row_number().over(w).alias("_rn"),
-        F.sum(amount).over(upto).alias("_cum"),
-        F.first("_seed").over(upto).alias("_local_seed"))
+def sequence_and_running_total(df: DataFrame, order: Sequence[Column], slice_by: Column, amount: str | None = None,
+                               partition_by: Sequence[str] = (), seed: str | None = None,
+                               row_id: str = "row_id", running: str = "running_total") -> DataFrame:
+    """Row number and, with ``amount``, its running sum over ``order`` (per ``partition_by``).
 
-    per = local.groupBy(*local_keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_s"),
-        F.max(F.when(F.col("_rn") == 1, F.col("_seed"))).alias("_first_seed"))
-    ws = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy(SLICE)
+    ``slice_by`` must not fall along ``order`` (NULLs last): rows of equal value are numbered
+    in one window, so it should tell apart as many stretches of the order as there are.
+    """
+    groups, upto_now = list(partition_by), (Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(*groups, SLICE).orderBy(*order)
+    local = df.withColumn(SLICE, slice_by).withColumn("_rn", F.row_number().over(w))
+    sums = [F.count(F.lit(1)).alias("_n")]
+    if amount:
+        local = local.withColumn("_cum", F.sum(amount).over(w.rowsBetween(*upto_now))) \
+            .withColumn("_seed", F.col(seed) if seed else F.lit(0))
+        sums += [F.sum(amount).alias("_s"), F.min_by("_seed", "_rn").alias("_first")]
+    per = local.groupBy(*groups, SLICE).agg(*sums)
+    ws = Window.partitionBy(*groups).orderBy(F.col(SLICE).asc_nulls_last())
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    carried = per.select(
-        *local_keys,
-        F.sum("_n").over(before).alias("_prior_n"),
-        F.sum("_s").over(before).alias("_prior_s"),
-        F.first("_first_seed").over(ws.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        .alias("_group_seed"),
-    ).filter(F.col("_prior_n") > 0)
-
-    out = local.join(broadcast_bounded(carried), local_keys, "left")
-    result = out.select(
-        *[c for c in df.columns],
-        (F.coalesce(F.col("_prior_n"), F.lit(0)) + F.col("_rn")).cast("bigint").alias(row_id),
-        (F.coalesce(F.col("_group_seed"), F.col("_local_seed"))
-         + F.coalesce(F.col("_prior_s"), F.lit(0)) + F.col("_cum")).alias(running))
-    return result
-
-
-def _single_slice(rows: DataFrame, columns: list[str], order: Sequence[Column], amount: str,
-                  groups: list[str], row_id: str, running: str) -> DataFrame:
-    """At most ``rows_per_slice`` rows in all (counted): one window over them is within
-    the per-task bound, so no range slicing is needed. The result is checkpointed, so it
-    does not depend on the cached input, which is released by the caller."""
-    w = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = rows.select(
-        *columns,
-        F.row_number().over(w).cast("bigint").alias(row_id),
-        (F.first("_seed").over(upto) + F.sum(amount).over(upto)).alias(running))
-    return out.checkpoint(eager=True)
+    carried = [F.sum("_n").over(before).alias("_prior_n")]
+    if amount:
+        carried += [F.sum("_s").over(before).alias("_prior_s"), F.first("_first").over(ws.rowsBetween(*upto_now)).alias("_start")]
+    keys = [F.col(c).alias(f"_key_{i}") for i, c in enumerate([*groups, SLICE])]
+    per = per.select(*keys, *carried)
+    same = [F.col(c).eqNullSafe(F.col(f"_key_{i}")) for i, c in enumerate([*groups, SLICE])]
+    out = local.join(per, same)
+    columns = [*df.columns, (F.coalesce("_prior_n", F.lit(0)) + F.col("_rn")).cast("bigint").alias(row_id)]
+    if amount:
+        columns.append((F.col("_start") + _total("_prior_s", "_cum")).alias(running))
+    return out.select(*columns)

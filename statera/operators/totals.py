@@ -19,44 +19,45 @@ from ..functions.money import MONEY
 LEVEL = "row_level"
 
 
-def _total_row(df: DataFrame, keys: Sequence[str], measures: Sequence[str], level: int) -> DataFrame:
-    sums = {m: F.sum(m).cast(MONEY).alias(m) for m in measures}
-    agg = df.groupBy(*keys).agg(*sums.values()) if keys else df.agg(*sums.values())
-    cols = []
-    for f in df.schema.fields:
-        if f.name in keys or f.name in measures:
-            cols.append(F.col(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return agg.select(*cols, F.lit(level).alias(LEVEL))
+def _with_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str], level: int) -> DataFrame:
+    """Rows (level 0) and their sums per ``keys`` (``level``) in one pass over ``df``.
 
+    Each row goes out once as itself and once as a part of its total, and one aggregation takes
+    both: the parts are summed map-side, and rows are grouped by all their columns with the number
+    of times they occur, so that equal rows stay as many as they were.
+    """
+    own = F.col(LEVEL) == 0
+    rows = df.select(*[F.col(c).cast(MONEY).alias(c) if c in measures else F.col(c) for c in df.columns],
+                     F.explode(F.array(F.lit(0), F.lit(level))).alias(LEVEL))
+    if not keys:  # a grand total is one row even without rows
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name != LEVEL]
+        rows = rows.unionByName(df.sparkSession.range(1).select(*none, F.lit(level).alias(LEVEL)))
+    grouped = [(F.col(c) if c in keys else F.when(own, F.col(c))).alias(f"_row_{i}") for i, c in enumerate(df.columns)]
+    out = rows.groupBy(LEVEL, *grouped).agg(
+        F.count(F.lit(1)).alias("_times"), *[F.sum(F.when(~own, F.col(m))).cast(MONEY).alias(f"_sum_{m}") for m in measures])
+    out = out.select("*", F.explode(F.when(own, F.sequence(F.lit(1), F.col("_times").cast("int"))).otherwise(F.array(F.lit(1)))))
+    back = [(F.when(own, F.col(f"_row_{i}")).otherwise(F.col(f"_sum_{c}")) if c in measures else F.col(f"_row_{i}")).alias(c)
+            for i, c in enumerate(df.columns)]
+    return out.select(*back, LEVEL)
 
-def report_order(df: DataFrame, leading: Sequence, skip: Sequence[str] = ()) -> DataFrame:
-    """Sort by ``leading`` and then by every other column, with a random last key.
 
-    The report order only fixes the leading keys; the rest makes the range partitions of
-    the global sort fine-grained (a hot supplier or day spreads over many tasks), and the
-    random key spreads even a block of identical rows (installment fan-out), which no
-    column can tell apart. Identical rows are interchangeable, so the order stays valid.
-    """
+def report_order(df: DataFrame, leading: Sequence, skip: Sequence[str] = ()) -> DataFrame:
+    """Sort by ``leading`` and then by every other column: the report order only fixes the leading
+    keys, the rest makes the range partitions of the global sort fine-grained, so that a hot
+    supplier or day spreads over many tasks."""
     named = {c.lower() for c in [*leading, *skip] if isinstance(c, str)}
     lead = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in leading]
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c.lower() not in named]
-    return df.orderBy(*lead, *rest, F.rand(17))
+    return df.orderBy(*lead, *rest)
 
 
 def with_group_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
                       sort: Sequence[str] = ()) -> DataFrame:
     """Rows followed by one subtotal per group, groups ascending by key (NULLs last)."""
-    rows = df.select(*[F.col(c).cast(MONEY).alias(c) if c in measures else F.col(c) for c in df.columns],
-                     F.lit(0).alias(LEVEL))
-    out = rows.unionByName(_total_row(rows.drop(LEVEL), keys, measures, 1))
-    return report_order(out, [*keys, LEVEL, *sort])
+    return report_order(_with_totals(df, keys, measures, 1), [*keys, LEVEL, *sort])
 
 
 def with_grand_total(df: DataFrame, measures: Sequence[str], sort: Sequence[str] = ()) -> DataFrame:
-    """Rows followed by one grand-total row (every non-measure column NULL)."""
-    rows = df.select(*[F.col(c).cast(MONEY).alias(c) if c in measures else F.col(c) for c in df.columns],
-                     F.lit(0).alias(LEVEL))
-    out = rows.unionByName(_total_row(rows.drop(LEVEL), [], measures, 2))
-    return report_order(out, [LEVEL, *sort])
+    """Rows and one grand-total row (every non-measure column NULL); sorted only if ``sort`` is given."""
+    out = _with_totals(df, [], measures, 2)
+    return report_order(out, [LEVEL, *sort]) if sort else out

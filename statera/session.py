@@ -24,17 +24,18 @@ DEFAULT_CONF = {
 }
 
 
-def cluster_conf(input_tb: float, executors: int, cores_per_executor: int = 4) -> dict[str, str]:
+def cluster_conf(shuffled_tb: float, executors: int, cores_per_executor: int = 4) -> dict[str, str]:
     """Settings for a large run (e.g. ~100 TB over ~1000 executors).
 
-    Shuffle partitions start at about one per 256 MB of the largest shuffled input
-    (at least 3 per core) and AQE coalesces them to the advisory size afterwards, so
+    ``shuffled_tb`` is what the largest shuffle moves after filters and column pruning, not
+    what is scanned. Shuffle partitions start at about one per 256 MB of it (at least 3 per
+    core) and AQE coalesces them to the advisory size afterwards, so
     small stages do not pay for the large ones. Scan splits of 256 MB keep the task
     count of a 100 TB scan near 400k. Skewed partitions over 1 GB (and 5x the median)
     are split by AQE.
     """
     cores = max(1, executors * cores_per_executor)
-    partitions = max(3 * cores, int(input_tb * 1024 * 1024 / 256))
+    partitions = max(3 * cores, int(shuffled_tb * 1024 * 1024 / 256))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

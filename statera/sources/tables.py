@@ -22,6 +22,22 @@ def empty_strings_as_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` in its types; a date that the source holds with its time of day
+    stays a timestamp, as periods that aren't truncated depend on it."""
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    out = []
+    for f in schema.fields:
+        kind = kinds.get(f.name.lower())
+        if kind is None:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif kind == f.dataType or isinstance(f.dataType, T.DateType) and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            out.append(F.col(f.name).alias(f.name))
+        else:
+            out.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    return df.select(*out)
+
+
 class FinanceTables:
     """Named access to the finance relations (``t.ap_invoices_all`` ...).
 
@@ -69,10 +85,9 @@ class FinanceTables:
             path = os.path.join(root, name)
             if not os.path.exists(path) and os.path.exists(path + ".parquet"):
                 path += ".parquet"
-            reader = spark.read
+            df = spark.read.parquet(path)
             if use_schema and name in SCHEMAS:
-                reader = reader.schema(SCHEMAS[name])
-            df = reader.parquet(path)
+                df = conformed(df, SCHEMAS[name])
             return empty_strings_as_null(df) if normalize else df
 
         return cls(load)

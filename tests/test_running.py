@@ -12,6 +12,11 @@ from conftest import dec
 from statera.operators.running import sequence_and_running_total
 
 
+def in_slices(n):
+    """Contiguous slices of the test order: by day, and within day by the running number."""
+    return F.floor((F.col("day") * 10000 + F.col("k")) * n / 60000)
+
+
 def _data(spark, n=3000, hot_share=0.4, seed=7):
     rnd = random.Random(seed)
     rows = []
@@ -22,11 +27,11 @@ def _data(spark, n=3000, hot_share=0.4, seed=7):
     return spark.createDataFrame(rows, "g int, day int, k int, amt decimal(18,2), seed decimal(18,2)")
 
 
-@pytest.mark.parametrize("groups,slices", [((), 7), (("g",), 5), (("g",), 1)])
+@pytest.mark.parametrize("groups,slices", [((), 7), ((), 4), (("g",), 5), (("g",), 1)])
 def test_matches_plain_window(spark, groups, slices):
     df = _data(spark)
     order = [F.col("day").asc_nulls_last(), F.col("k").asc_nulls_last()]
-    got = sequence_and_running_total(df, order, "amt", partition_by=groups, seed="seed", slices=slices)
+    got = sequence_and_running_total(df, order, amount="amt", partition_by=groups, seed="seed", slice_by=in_slices(slices))
     w = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy(*order)
     first_seed = F.first("seed").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     want = df.select("*", F.row_number().over(w).cast("bigint").alias("row_id"),
@@ -40,18 +45,30 @@ def test_matches_plain_window(spark, groups, slices):
 
 def test_hot_group_spans_slices(spark):
     df = _data(spark, hot_share=0.9)
-    got = sequence_and_running_total(df, [F.col("day"), F.col("k")], "amt", partition_by=["g"], slices=6)
+    got = sequence_and_running_total(df, [F.col("day"), F.col("k")], amount="amt", partition_by=["g"], slice_by=in_slices(6))
     per_slice = got.filter(F.col("g") == 0).select("row_id").collect()
     assert len(per_slice) == df.filter(F.col("g") == 0).count()
     assert sorted(r.row_id for r in per_slice) == list(range(1, len(per_slice) + 1))
 
 
-def test_slice_count_follows_the_row_count(spark):
-    df = _data(spark, n=2000)
-    order = [F.col("day").asc_nulls_last(), F.col("k").asc_nulls_last()]
-    got = sequence_and_running_total(df, order, "amt", partition_by=["g"], rows_per_slice=257)
-    w = Window.partitionBy("g").orderBy(*order)
-    want = df.select("k", F.row_number().over(w).cast("bigint").alias("row_id"),
-                     F.sum("amt").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("running_total"))
-    assert sorted(tuple(r) for r in got.select("k", "row_id", "running_total").collect()) == \
-        sorted(tuple(r) for r in want.collect())
+@pytest.mark.parametrize("slices", [1, 4, 7])
+@pytest.mark.parametrize("groups", [(), ("g",)])
+def test_null_amounts_and_seeds(spark, slices, groups):
+    rows = [(g, d, d * 10 + i, None if (d + i) % 3 else dec(i + 1), None if g == 1 else dec(5 if d == 1 and i == 0 else 9))
+            for g in (1, 2) for d in range(1, 6) for i in range(3)]
+    df = spark.createDataFrame(rows, "g int, day int, k int, amt decimal(18,2), seed decimal(18,2)")
+    order = [F.col("day"), F.col("k"), F.col("g")]
+    got = sequence_and_running_total(df, order, F.floor(F.col("day") * F.lit(slices) / 6), "amt", groups, "seed")
+    w = Window.partitionBy(*groups).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("*", F.row_number().over(w).cast("bigint").alias("row_id"),
+                     (F.first("seed").over(upto) + F.sum("amt").over(upto)).alias("running_total"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_building_runs_no_job(spark):
+    df = _data(spark, n=50)
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    sequence_and_running_total(df, [F.col("day"), F.col("k")], F.col("day"), "amt", ["g"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    spark.sparkContext.setJobGroup("", "")
