@@ -10,7 +10,7 @@ written plainly; they are broadcast while small.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import SparkSession
 
@@ -44,12 +44,15 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str, out_dir: str, files: i
 
 def land_tables(spark: SparkSession, source: FinanceTables, database: str = "default", buckets: int = 8,
                 relations: Iterable[str] = RELATIONS, parallel: int = 4,
-                location: str | None = None, normalize: bool = True) -> FinanceTables:
+                location: str | None = None, normalize: bool = True,
+                bucket_keys: Mapping[str, str | None] | None = None) -> FinanceTables:
     """Write every relation of ``source`` as a table of ``database`` (bucketed facts),
     and return FinanceTables reading them back from the catalog. With ``location`` the
     tables' files go to ``<location>/<relation>`` (e.g. a shared folder), otherwise to
     the catalog's warehouse. ``normalize`` writes '' as NULL (once, here), so readers
-    need no per-read normalisation and keep their predicate pushdown.
+    need no per-read normalisation and keep their predicate pushdown. ``bucket_keys``
+    overrides the bucketing keys (None: unbucketed, e.g. for a fact with a hot document).
+    Rows are dealt to buckets before the write, so that each bucket is one sorted file.
 
     Relations are independent, so up to ``parallel`` of them are written at the same
     time (Spark runs jobs submitted from several threads side by side and shares the
@@ -61,10 +64,13 @@ def land_tables(spark: SparkSession, source: FinanceTables, database: str = "def
 
     def write(name: str) -> None:
         df = source.table(name)
-        writer = (empty_strings_as_null(df) if normalize else df).write.mode("overwrite").format("parquet")
+        df = empty_strings_as_null(df) if normalize else df
+        key = (bucket_keys or {}).get(name, BUCKET_KEYS.get(name))
+        if key:
+            df = df.repartition(buckets, key)
+        writer = df.write.mode("overwrite").format("parquet")
         if location:
             writer = writer.option("path", f"{location.rstrip('/')}/{name}")
-        key = BUCKET_KEYS.get(name)
         if key:
             writer = writer.bucketBy(buckets, key).sortBy(key)
         writer.saveAsTable(f"{database}.{name}")
