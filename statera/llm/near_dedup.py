@@ -13,12 +13,13 @@ two-word shingles (its whole sequence if it has fewer words). Two documents are
    bands of 6 slots a linked pair shares no band with a probability under 2e-6.
 3. In each band bucket all members are verified on their full sets against one pivot, the member that
    meets most others over all bands (the original of a group of copies is in nearly every bucket of
-   theirs), then linked members are united. Only buckets that still hold several groups go on. Their
-   members' shingles are split by how many of these members have them: pairs that share a rare one
-   (up to ``RARE`` members) are listed with the number they share, which is linear, and verified if
-   this number and their frequent shingles suffice for a link. Pairs without a rare shingle in common
-   need enough frequent ones on both sides, which rules out most members without looking at pairs; up
-   to 64 of the rest outside the pivot's group become pivots at a time and meet the members of other
+   theirs), then linked members are united. Only buckets that still hold several groups go on. Two
+   members x, y of a pivot P share at most min(|x & P|, |y & P|) shingles inside P, so only what members
+   have beyond P is laid out, a row per shingle. Pairs that share a rare one of these (up to ``RARE``
+   members of P have it) are listed with the number they share, which is linear, and verified if this
+   number, their frequent ones and the bound inside P suffice for a link. All other pairs need enough
+   inside P and of frequent ones on both sides, which rules out most without looking at their sets; up
+   to 64 members outside the pivot's group become pivots at a time and meet the members of other
    groups that this bound, the sizes and the triangle inequality of the Jaccard distance leave; it ends
    when every bucket is one group or all its members were pivots. No link inside a bucket is lost, and
    a group of near copies of any size is joined by one pivot.
@@ -45,7 +46,7 @@ BANDS, ROWS = 44, 6
 SLOTS = BANDS * ROWS
 PERCENT = 80
 PIVOTS = 64
-RARE = 16  # members of unresolved buckets that share a rare shingle at most
+RARE = 16  # members of a pivot that share a rare shingle at most
 CHUNK = 200_000  # shingles that are sketched together
 CACHED_WORDS = 200_000
 LAZY = 8  # ranks for which permutations are traced back; after that they are held
@@ -186,13 +187,29 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["a", "b", "inter", "na", "nb"])
 
 
-def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of ``own`` that ``other`` hasn't."""
+    def rows(nids: list[int], pivots: list[int], rests: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        sizes = [len(r) for r in rests]
+        columns = [np.repeat(np.array(nids, np.int64), sizes), np.repeat(np.array(pivots, np.int64), sizes),
+                   np.concatenate(rests).view(np.int64)]
+        for i in range(0, sum(sizes), CHUNK):
+            yield pa.RecordBatch.from_arrays([pa.array(c[i:i + CHUNK]) for c in columns], ["nid", "pivot", "h"])
+
     for batch in batches:
-        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("members")]
-        nids = np.repeat(batch.column("nid").to_numpy(), [len(x) for x in sets])
-        for i in range(0, len(nids), CHUNK):
-            yield pa.RecordBatch.from_arrays([pa.array(nids[i:i + CHUNK]),
-                                              pa.array(np.concatenate(sets)[i:i + CHUNK])], ["nid", "h"])
+        nids, pivots, rests, total = [], [], [], 0
+        for nid, pivot, own, other in zip(*(batch.column(c) for c in ("nid", "pivot", "own", "other")), strict=True):
+            own, other = (np.frombuffer(x.as_buffer(), U) for x in (own, other))
+            at = np.minimum(np.searchsorted(other, own), len(other) - 1)
+            nids.append(nid.as_py())
+            pivots.append(pivot.as_py())
+            rests.append(own[other[at] != own])
+            total += len(rests[-1])
+            if total >= CHUNK:
+                yield from rows(nids, pivots, rests)
+                nids, pivots, rests, total = [], [], [], 0
+        if rests:
+            yield from rows(nids, pivots, rests)
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -324,10 +341,11 @@ class NearDuplicates:
             slot = F.pmod(F.xxhash64("nid"), F.lit(PIVOTS))
             chosen = outside.groupBy("band", slot.alias("slot")).agg(F.min("nid").alias("nid")).drop("slot")
             pivots = self._land(left.join(chosen, ["band", "nid"]).select("band", *[
-                F.col(c).alias(f"p_{c}") for c in ("nid", "n", "shared", "label", "near", "far")]), f"pivots{turn}")
+                F.col(c).alias(f"p_{c}") for c in ("nid", "n", "inside", "often", "label", "near", "far")]), f"pivots{turn}")
             apart = F.greatest(F.col("near") - F.col("p_far"), F.col("p_near") - F.col("far"))
             pairs = left.join(pivots, "band").where(F.col("label") != F.col("p_label")) \
-                .where("9 * least(shared, p_shared) >= 4 * (n + p_n) AND 5 * least(n, p_n) >= 4 * greatest(n, p_n)") \
+                .where("9 * (least(inside, p_inside) + least(often, p_often)) >= 4 * (n + p_n)") \
+                .where("5 * least(n, p_n) >= 4 * greatest(n, p_n)") \
                 .where(apart <= (100 - PERCENT) / 100 + 1e-9) \
                 .select(F.least("nid", "p_nid").alias("a"), F.greatest("nid", "p_nid").alias("b")).distinct()
             links = self._verified(pairs, sets, f"verified{turn}").where(_linked()).select("a", "b")
@@ -335,24 +353,32 @@ class NearDuplicates:
             left = left.join(pivots.select("band", F.col("p_nid").alias("nid")), ["band", "nid"], "left_anti")
 
     def _possible(self, left: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Members with ``shared``, the number of their frequent shingles, without those that have too few
-        for a link with the smallest partner their bucket can offer; and the links between members that
-        share a rare shingle."""
-        rows = sets.join(left.select("nid").distinct(), "nid").mapInArrow(_shingles, "nid long, h long")
-        counts = rows.groupBy("h").agg(F.count("*").alias("c")).where("c > 1")
-        rows = self._land(rows.join(counts, "h", "left"), "shingles")
-        frequent = self._land(rows.groupBy("nid").agg(F.count_if(F.col("c") > RARE).alias("shared"))
-                              .join(self.classes.select("nid", "n"), "nid"), "frequent")
+        """Members with ``inside``, the number of their shingles that their pivot has too, and ``often``, of
+        the others those that many members of the pivot have, without those that have too few of both for a
+        link with the smallest partner their bucket can offer; and the links between members of different
+        groups that share a rare shingle."""
+        pairs = left.select("nid", "pivot", "n", "label").distinct()
+        rows = pairs.join(sets.toDF("nid", "own"), "nid").join(sets.toDF("pivot", "other"), "pivot") \
+            .select("nid", "pivot", "own", "other").mapInArrow(_beyond, "nid long, pivot long, h long")
+        rows = self._land(rows, "beyond")
+        counts = rows.groupBy("pivot", "h").agg(F.count("*").alias("c")).where("c > 1")
+        rows = self._land(rows.join(counts, ["pivot", "h"], "left"), "shingles")
+        sums = rows.groupBy("nid", "pivot").agg(F.count("*").alias("beyond"), F.count_if(F.col("c") > RARE).alias("often"))
+        known = self._land(pairs.join(sums, ["nid", "pivot"], "left").select(
+            "nid", "pivot", "n", "label", F.expr("n - coalesce(beyond, 0)").alias("inside"),
+            F.coalesce("often", F.lit(0)).alias("often")), "inside")
         rare = rows.where(F.col("c") <= RARE)
-        pairs = rare.select("h", F.col("nid").alias("a")).join(rare.select("h", F.col("nid").alias("b")), "h") \
-            .where("a < b").groupBy("a", "b").agg(F.count("*").alias("r"))
-        able = pairs.join(frequent.toDF("a", "fa", "na"), "a").join(frequent.toDF("b", "fb", "nb"), "b") \
-            .where("9 * (least(fa, fb) + r) >= 4 * (na + nb)").select("a", "b")
+        met = rare.select("pivot", "h", F.col("nid").alias("a")) \
+            .join(rare.select("pivot", "h", F.col("nid").alias("b")), ["pivot", "h"]) \
+            .where("a < b").groupBy("pivot", "a", "b").agg(F.count("*").alias("r"))
+        able = met.join(known.toDF("a", "pivot", "na", "la", "ia", "oa"), ["a", "pivot"]) \
+            .join(known.toDF("b", "pivot", "nb", "lb", "ib", "ob"), ["b", "pivot"]) \
+            .where("la <> lb AND 9 * (least(ia, ib) + r + least(oa, ob)) >= 4 * (na + nb)").select("a", "b").distinct()
         links = self._verified(able, sets, "verified-rare").where(_linked()).select("a", "b")
         smallest = left.groupBy("band").agg(F.min("n").alias("smallest"))
         # overlap >= 4/9 of both sizes together, and the partner has 4/5 of the size at least
-        left = left.join(frequent.drop("n"), "nid").join(smallest, "band") \
-            .where("45 * shared >= 4 * greatest(9 * n, 5 * (n + smallest))").drop("smallest")
+        left = left.join(known.drop("n", "label"), ["nid", "pivot"]).join(smallest, "band") \
+            .where("45 * (inside + often) >= 4 * greatest(9 * n, 5 * (n + smallest))").drop("smallest")
         return self._land(left, "possible"), links
 
     def _joined(self, labels: DataFrame, links: DataFrame, turn: int) -> DataFrame:

@@ -191,6 +191,28 @@ def test_near_duplicates_match_brute_force(spark, folder):
     assert sorted(r.doc_id for r in stay.collect() if r.doc_id is not None) == sorted({c for _, c in want.values()})
 
 
+def test_near_copies_around_the_limit_match_brute_force(spark):
+    """A group with members just beyond the limit to its pivot, some of which share what they have beyond it
+    with a few members (rare) or with many."""
+    r = random.Random(11)
+    base, few, many = prose(150), prose(30), prose(30)
+    rows = [(1, " ".join(base))]
+    for i in range(90):
+        copy = list(base)
+        for j in r.sample(range(100), r.choice((1, 4, 7, 8, 9, 10, 14))):
+            copy[j] = r.choice(VOCABULARY)
+        if i % 3 == 0:
+            copy[110:110 + i // 4] = many[:i // 4]
+        elif i % 13 == 1:
+            copy[110:110 + i // 4] = few[:i // 4]
+        rows.append((2 + i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_components(rows)
+    assert 1 < len({c for _, c in want.values()}) < len(rows)
+    got = near_dedup.NearDuplicates(docs).decide().collect()
+    assert {x.doc_id: (x.n, x.component_id) for x in got} == want
+
+
 def test_long_paths_are_united(spark):
     order = list(range(200))
     random.Random(2).shuffle(order)
