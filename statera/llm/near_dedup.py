@@ -383,6 +383,8 @@ class NearDuplicates:
 
     def _joined(self, labels: DataFrame, links: DataFrame, turn: int) -> DataFrame:
         """``labels`` after the groups on both sides of each link have become one."""
+        if links.isEmpty():
+            return labels
         for side in ("a", "b"):
             links = links.join(labels.toDF(side, "label"), side, "left") \
                 .withColumn(side, F.coalesce("label", side)).drop("label")
