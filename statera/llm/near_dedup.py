@@ -1,7 +1,7 @@
 r"""Near-duplicate groups by SuperMinHash signatures, banding, verification and union-find.
 
 Words are ``[^\x20\x09-\x0D]+`` of the text with A-Z lowered; a document's set is its distinct
-two-word shingles (its whole sequence if it has fewer words). Two documents are linked if
+shingles of ``width`` words, two in op7 (its whole sequence if it has fewer words). Two documents are linked if
 100 * |intersection| >= 80 * |union|; a group is what links reach.
 
 1. ``sketched``: per document the size and digest of its set and the hashes of the bands of its
@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -72,16 +73,22 @@ class WordHashes(dict):
         return h
 
 
-def shingle_set(text: bytes | None, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: bytes | None, hashes: WordHashes, width: int = 2) -> np.ndarray:
     """Sorted distinct shingle hashes. ``bytes`` lower and split on ASCII alone, as wanted here."""
     words = (text or b"").lower().split()
     if not words:
         return np.empty(0, U)
     h = np.array([hashes[w] for w in words], U)
-    if len(words) == 1:
-        return _mixed(h + U(0x9E3779B97F4A7C15))
-    second = (h[1:] << U(31)) | (h[1:] >> U(33))
-    return np.unique(_mixed(h[:-1] * U(0xD1B54A32D192ED03) + second * U(0x8CB92BA72F3D8DD7)))
+    width = min(width, len(words))
+    if width == 1:
+        return np.unique(_mixed(h + U(0x9E3779B97F4A7C15)))
+    count = len(h) - width + 1
+    out = h[:count]
+    for i in range(1, width):
+        following = h[i:i + count]
+        following = (following << U(31)) | (following >> U(33))
+        out = _mixed(out * U(0xD1B54A32D192ED03) + following * U(0x8CB92BA72F3D8DD7))
+    return np.unique(out)
 
 
 def signatures(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
@@ -134,14 +141,14 @@ def _set_key(s: np.ndarray) -> np.ndarray:
     return np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
     for batch in batches:
         texts, start = batch.column("text"), 0
         while start < batch.num_rows:
             sets, total, end = [], 0, start
             while end < batch.num_rows and total < CHUNK:
-                sets.append(shingle_set(texts[end].as_py(), hashes))
+                sets.append(shingle_set(texts[end].as_py(), hashes, width))
                 total, end = total + len(sets[-1]), end + 1
             keys = np.array([_set_key(s) for s in sets])
             bands = np.zeros((len(sets), BANDS), U)
@@ -158,13 +165,13 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start = end
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """The sets of the texts, without those whose id stands for another text here."""
     hashes = WordHashes()
     for batch in batches:
         got = []
         for nid, k0, k1, text in zip(*(batch.column(c) for c in ("nid", "k0", "k1", "text")), strict=True):
-            s = shingle_set(text.as_py(), hashes)
+            s = shingle_set(text.as_py(), hashes, width)
             key = _set_key(s)
             if key[0] == k0.as_py() and key[1] == k1.as_py():
                 got.append((nid.as_py(), s.tobytes()))
@@ -212,11 +219,11 @@ def _beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from rows(nids, pivots, rests)
 
 
-def sketched(docs: DataFrame) -> DataFrame:
+def sketched(docs: DataFrame, width: int = 2) -> DataFrame:
     """doc_id, content (digest of the text), n, k0 and k1 (digest of the set), bands."""
     text = F.coalesce(docs["text"], F.lit("")).cast("binary")
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.md5(text).alias("content"), text.alias("text")) \
-        .mapInArrow(_sketches, "doc_id long, content string, n long, k0 long, k1 long, bands array<long>")
+        .mapInArrow(partial(_sketches, width=width), "doc_id long, content string, n long, k0 long, k1 long, bands array<long>")
 
 
 def united(edges: DataFrame, work: str) -> DataFrame:
@@ -259,8 +266,8 @@ def _linked(inter: str = "inter", na: str = "na", nb: str = "nb"):
 class NearDuplicates:
     """``decide`` gives one row per document: doc_id, content, n, k0, k1, component_id."""
 
-    def __init__(self, docs: DataFrame):
-        self.docs, self.spark = docs, docs.sparkSession
+    def __init__(self, docs: DataFrame, width: int = 2):
+        self.docs, self.spark, self.width = docs, docs.sparkSession, width
         self.work = scratch(self.spark, "near-dedup")
         bounded_batches(self.spark)
 
@@ -276,7 +283,7 @@ class NearDuplicates:
                           .mapInArrow(_overlaps, "a long, b long, inter long, na long, nb long"), name)
 
     def decide(self) -> DataFrame:
-        sketch = self._land(sketched(self.docs), "sketch")
+        sketch = self._land(sketched(self.docs, self.width), "sketch")
         classes = sketch.where("n > 0 AND doc_id IS NOT NULL").groupBy("k0", "k1").agg(
             F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
         self.classes = classes = self._land(classes.withColumn("nid", F.monotonically_increasing_id()), "classes")
@@ -293,7 +300,7 @@ class NearDuplicates:
         texts = self.docs.select(self.docs["doc_id"].cast("long").alias("doc_id"),
                                  F.coalesce(self.docs["text"], F.lit("")).cast("binary").alias("text"))
         sets = texts.join(wanted, "doc_id").select("nid", "k0", "k1", "text") \
-            .mapInArrow(_sets, "nid long, members binary").dropDuplicates(["nid"])
+            .mapInArrow(partial(_sets, width=self.width), "nid long, members binary").dropDuplicates(["nid"])
         sets = self._land(sets, "sets")
 
         pairs = members.where("nid <> pivot").select(F.col("nid").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -394,11 +401,11 @@ class NearDuplicates:
         return self._land(moved.union(new), f"labels{turn}")
 
 
-def one_of_each_group(docs: DataFrame) -> DataFrame:
+def one_of_each_group(docs: DataFrame, width: int = 2) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the row with the smallest id stays (of
     several texts under that id, the one with the smallest digest; of repeated rows, one). Rows
     without an id stay."""
-    run = NearDuplicates(docs)
+    run = NearDuplicates(docs, width)
     decided = run._land(run.decide().where("doc_id IS NOT NULL").groupBy("component_id", "doc_id", "content")
                         .agg(F.count("*").alias("n")), "decided")
     # documents with an empty set are their own group, whatever their text
@@ -415,7 +422,7 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decided = NearDuplicates(table(spark, sf_dir, "documents")).decide()
+    decided = NearDuplicates(table(spark, sf_dir, "documents"), width=2).decide()
     return decided.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
                           F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 

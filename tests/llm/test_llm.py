@@ -191,6 +191,34 @@ def test_near_duplicates_match_brute_force(spark, folder):
     assert sorted(r.doc_id for r in stay.collect() if r.doc_id is not None) == sorted({c for _, c in want.values()})
 
 
+def test_stage_takes_five_words(spark):
+    """Of 60 words with 3 scattered ones replaced, two-word shingles are linked and five-word ones not."""
+    import corpus_pipeline as cp
+
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(base)), (2, " ".join("x" if i in (10, 30, 50) else w for i, w in enumerate(base))),
+            (3, " ".join([*base[:-1], "end"])), (4, "a b c"), (5, "A  B c"), (6, "a b d"), (7, "a b c d"), (8, None)]
+    for i in range(60):
+        copy = list(base)
+        for j in r.sample(range(60), r.choice((0, 1, 2, 3))):
+            copy[j] = f"{i}"
+        rows.append((10 + i, " ".join(copy)))
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[j:j + 5]) for j in range(max(len(w) - 4, min(len(w), 1)))}
+    group = {i: i for i in sets}
+    for a, x in sets.items():
+        for b, y in sets.items():
+            if a < b and x and 100 * len(x & y) >= 80 * len(x | y):
+                p, q = sorted((group[a], group[b]))
+                group = {i: p if g == q else g for i, g in group.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(x.doc_id for x in cp.near_duplicates(spark, docs, "").collect())
+    assert got == sorted(set(group.values())) and {1, 2, 4, 6, 7, 8} <= set(got) and not {3, 5} & set(got)
+
+
 def test_near_copies_around_the_limit_match_brute_force(spark):
     """A group with members just beyond the limit to its pivot, some of which share what they have beyond it
     with a few members (rare) or with many."""
