@@ -84,7 +84,8 @@ def slot_filter(keys: DataFrame, key: str) -> Column:
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()  # 33 x 4 KB at most
     out = bytearray(FILTER_SLOTS)
     for r in rows:
-        first = (r["b"] - 1) * BITMAP + 1  # bucket 1 holds slots 1 to 32768; slot 0 is in bucket 0
+        # bucket 1 holds slots 1 to 32768; slot 0 is alone in bucket 0, at bit 0
+        first = (r["b"] - 1) * BITMAP + 1 if r["b"] else 0
         for i, byte in enumerate(r["bits"]):
             for bit in range(8) if byte else ():
                 if byte >> bit & 1:

@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from statera.llm import exact_dedup, language, mixing, near_dedup, pii, quality, secrets, sharding, warc
+from statera.llm import common, exact_dedup, language, mixing, near_dedup, pii, quality, secrets, sharding, warc
 from statera.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -105,6 +105,19 @@ def test_warc_round_trip_and_lookup(spark, folder):
 
 # ---- decontamination ----------------------------------------------------------------------------
 
+def test_slot_filter_passes_all_its_keys(spark):
+    slots = common.FILTER_SLOTS
+    keys = [0, 1, 32768, 32769, slots - 1, slots, 5 * slots + 77, -1, -slots]
+    for some in ([k] for k in keys):
+        df = spark.createDataFrame([(k,) for k in some], "k long")
+        known = common.slot_filter(df, "k")
+        every = spark.createDataFrame([(k,) for k in [*keys, 1015809]], "k long")
+        got = {r.k for r in every.where(common.passes(known, F.col("k"))).collect()}
+        assert got == {k for k in [*keys, 1015809] if k % slots in {x % slots for x in some}}
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    assert df.where(common.passes(common.slot_filter(df, "k"), F.col("k"))).count() == len(keys)
+
+
 def test_decontamination_matches_sql(spark, folder):
     got = rows_of(QUERIES["op3_decontamination"](spark, folder))
     assert sum(r[5] for r in got) >= 5
