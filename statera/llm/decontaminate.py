@@ -15,7 +15,8 @@ form length classes of their own with ``k + w - 1`` equal to their length.
 4. covered word positions and items are counted per document.
 
 A null or empty text has no words and no hits; an item without words has no window. Repeated
-documents are each decided; repeated items count by distinct id, null item ids not at all. An
+documents are each decided; repeated items count by distinct id. Items without an id make hits like
+all others; in n_items they count as one item together, and the list of ids leaves them out. An
 empty benchmark leaves every document clean. Other columns are not read.
 """
 
@@ -108,8 +109,9 @@ class Benchmark:
     """Windows and fingerprints of the items, as tables, and what is fixed in size about them."""
 
     def __init__(self, items: DataFrame, work: str):
-        words = items.where("item_id IS NOT NULL").select(
-            F.col("item_id").cast("string").alias("item_id"), words_of(F.col("text")).alias("words"))
+        # the id within a struct, as sets drop bare nulls
+        words = items.select(F.struct(F.col("item_id").cast("string").alias("id")).alias("item_id"),
+                             words_of(F.col("text")).alias("words"))
         sized = words.where(F.size("words") > 0).withColumn("len", F.least(F.size("words"), F.lit(WINDOW)))
         sized = landed(sized.distinct(), f"{work}/items")
         self.lengths = sorted(r[0] for r in sized.select("len").distinct().collect())  # 1 to WINDOW
@@ -119,7 +121,7 @@ class Benchmark:
             parts.append(with_winnowed(with_grams(own, n), n).select(F.lit(n).alias("len"), F.explode("fps").alias("fp")))
             windows.append(own.select("item_id", F.explode(all_windows(F.col("words"), n)).alias("gram")))
         empty = sized.sparkSession.createDataFrame([], "len int, fp bigint")
-        none = sized.sparkSession.createDataFrame([], "item_id string, gram string")
+        none = sized.sparkSession.createDataFrame([], "item_id struct<id:string>, gram string")
         for p in parts:
             empty = empty.union(p)
         for p in windows:
@@ -127,7 +129,7 @@ class Benchmark:
         self.fingerprints = landed(empty.distinct(), f"{work}/fingerprints")
         # items with the same window, as one set: documents meet few sets, whatever the windows
         sets = none.groupBy("gram").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")) \
-            .withColumn("set_id", F.md5(F.concat_ws(",", "item_ids")))
+            .withColumn("set_id", F.md5(F.to_json("item_ids")))
         self.windows = landed(sets, f"{work}/windows")
         self.sets = landed(self.windows.groupBy("set_id").agg(F.first("item_ids").alias("item_ids")),
                            f"{work}/sets")
@@ -182,11 +184,11 @@ def _counted(read: DataFrame, windows: DataFrame, sets: DataFrame) -> DataFrame:
     ids = per_doc.select("uid", "n_hit", F.explode("sets").alias("set_id")).join(sets, "set_id") \
         .select("uid", "n_hit", F.explode("item_ids").alias("item_id")) \
         .groupBy("uid").agg(F.first("n_hit").alias("n_hit"), F.sort_array(F.collect_set("item_id")).alias("ids"))
-    none = F.array().cast("array<string>")
+    none = F.array().cast("array<struct<id:string>>")
     return read.select("uid", "row", "n_words").join(ids, "uid", "left").select(
         "row", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(F.coalesce("ids", none)).cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", F.coalesce("ids", none)), 256).alias("items_sha256"),
+        F.sha2(F.concat_ws(",", F.coalesce("ids", none)["id"]), 256).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"))
 
 

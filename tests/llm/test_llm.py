@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from statera.llm import common, exact_dedup, language, mixing, near_dedup, pii, quality, secrets, sharding, warc
+from statera.llm import common, decontaminate, exact_dedup, language, mixing, near_dedup, pii, quality, secrets, sharding, warc
 from statera.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -126,6 +126,22 @@ def test_decontamination_matches_sql(spark, folder):
     assert {r[0]: r for r in got if r[0] is not None} == {r[0]: r for r in want if r[0] is not None}
 
 
+def test_items_without_an_id_contaminate(spark, folder, tmp_path):
+    docs = [(1, "no id here at all"), (2, "one here"), (3, "no id one"), (4, "clean"), (None, "the very same"), (None, "no id")]
+    items = [(None, "no id"), (None, "the very same"), (7, "one"), (8, "one"), (None, "one"), (None, None)]
+    for name, rows, key in (("documents", docs, "doc_id"), ("benchmark", items, "item_id")):
+        spark.createDataFrame(rows, f"{key} long, text string").write.parquet(f"{tmp_path}/{name}.parquet")
+    for at in (str(tmp_path), folder):
+        got = rows_of(QUERIES["op3_decontamination"](spark, at))
+        assert got == sql_rows(at, "op3_decontamination", "documents benchmark")
+        assert any(r[0] is None and r[5] for r in got)
+    read = {r.row.doc_id: r for r in decontaminate.decontaminate(
+        *(spark.createDataFrame(r, f"{k} long, text string") for r, k in ((docs[:4], "doc_id"), (items, "item_id")))).collect()}
+    assert [(read[i].n_hit, read[i].n_items, read[i].contaminated) for i in (1, 2, 3, 4)] == \
+        [(2, 1, True), (1, 3, True), (3, 3, True), (0, 0, False)]
+    assert read[1].items_sha256 == read[4].items_sha256 == hashlib.sha256(b"").hexdigest()
+
+
 # ---- personal data ------------------------------------------------------------------------------
 
 TRICKY = ["a@b.co_x@y.zz", "a@b.c@d.e", "@x.y a@ b.c", "1.2.3.4.5.6.7.8 256.1.1.1 1.2.3", "4111 1111 1111 1111 4111-1111-1111-1111",
