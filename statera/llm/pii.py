@@ -5,7 +5,9 @@ Base spans, leftmost and non-overlapping per kind: email, ip, card (16 to 19 dig
 digit or an at sign) is an instance, with the lexical patterns around it: its two words before, and
 the word before with the word after. Spark holds the graph of patterns and instances and scores it
 in turns: a pattern's confidence for a kind is the mean score of its instances of that kind's shape
-(smoothed), an instance's score joins the confidences of its patterns; seeds score 1. Tokens outside
+(smoothed), an instance's score joins the confidences of its patterns; seeds score 1. A pattern is
+trusted if enough of its instances, seeds or discovered ones, have a high score, so that discoveries
+lead to further patterns. Scores only rise, and the turns end when they no longer do. Tokens outside
 base spans whose score and whose best pattern pass high thresholds are added.
 
 Kinds of unseen tokens by shape: an at sign is an email; digits with three dots or with colons an
@@ -17,7 +19,9 @@ same spans. An empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -35,7 +39,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MARK = re.compile(r"[0-9@]")
 TOKEN = re.compile(r"[^\x00-\x20]++")
 EDGE = "\"'`.,;:!?()[]{}<>|*#$%&=~"
-TURNS, SUPPORT, TRUST, ACCEPT = 3, 5, 0.5, 0.8
+SUPPORT, TRUST, ACCEPT = 5, 0.5, 0.8
+STILL = 1e-6  # a rise of a pattern's confidence that counts as none
+LONG = 40  # longer words are told apart by their digests
 
 
 def luhn(digits: str) -> bool:
@@ -89,7 +95,8 @@ def shape_kind(token: str) -> int | None:
 
 
 def _word(token: str) -> str:
-    return token.strip(EDGE).lower()[:40]
+    word = token.strip(EDGE).lower()
+    return word if len(word) <= LONG else hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
 def instances(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str, bool, list[str]]]:
@@ -97,12 +104,14 @@ def instances(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, i
     if not spans and not MARK.search(text):
         return []
     tokens = [m.span() for m in TOKEN.finditer(text)]
+    starts = [a for a, _ in tokens]
     ordered, out, before, s = sorted(spans, key=lambda x: x[1]), [], ("", ""), 0
     base_end = 0
     for i, (a, b) in enumerate(tokens):
         while s < len(ordered) and ordered[s][1] < b:
             kind, start, end = ordered[s]
-            after = next((_word(text[x:y]) for x, y in tokens[i:i + 8] if x >= end), "")
+            following = bisect_left(starts, end, i)
+            after = _word(text[slice(*tokens[following])]) if following < len(tokens) else ""
             out.append((kind, start, end, text[start:end].lower(), True, _patterns(before, after)))
             base_end, s = max(base_end, end), s + 1
         if a < base_end:
@@ -144,20 +153,28 @@ def written(spans: Column) -> Column:
 
 def bootstrapped(edges: DataFrame, work: str) -> tuple[DataFrame, DataFrame]:
     """(pattern, kind, trust) and (kind, value, score); ``edges``: pattern, kind, value, seed, distinct."""
-    patterns, scores = None, None
-    for turn in range(TURNS):
-        scored = edges.withColumn("score", F.col("seed").cast("double")) if scores is None else \
-            edges.join(scores, ["kind", "value"], "left").withColumn(
-                "score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0))))
-        patterns = scored.groupBy("pattern", "kind").agg(
-            F.sum("score").alias("positive"), F.count("*").alias("n"), F.sum(F.col("seed").cast("int")).alias("seeds")) \
-            .where(F.col("seeds") >= SUPPORT) \
+    # patterns of fewer instances can't ever have the support
+    sizes = edges.groupBy("pattern", "kind").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT)
+    edges = landed(edges.join(sizes, ["pattern", "kind"]), f"{work}/able")
+    patterns, scores, turn = None, None, 0
+    while True:
+        scored = edges.withColumn("score", F.lit(0.0)) if scores is None else \
+            edges.join(scores, ["kind", "value"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+        scored = scored.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.col("score")))
+        now = scored.groupBy("pattern", "kind").agg(
+            F.sum("score").alias("positive"), F.first("n").alias("n"), F.count_if(F.col("score") >= ACCEPT).alias("support")) \
+            .where(F.col("support") >= SUPPORT) \
             .select("pattern", "kind", (F.col("positive") / (F.col("n") + 1)).alias("trust")).where(F.col("trust") >= TRUST)
-        patterns = landed(patterns, f"{work}/patterns{turn}")
+        now = landed(now, f"{work}/patterns{turn}")
+        if patterns is not None:
+            before = patterns.withColumnRenamed("trust", "was")
+            risen = now.join(before, ["pattern", "kind"], "left").where(F.col("trust") - F.coalesce("was", F.lit(0.0)) > STILL)
+            if risen.isEmpty():
+                return patterns, scores
+        patterns = now
         scores = edges.join(patterns, ["pattern", "kind"]).groupBy("kind", "value") \
             .agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("score"))
-        scores = landed(scores, f"{work}/scores{turn}")
-    return patterns, scores
+        scores, turn = landed(scores, f"{work}/scores{turn}"), turn + 1
 
 
 def find_pii(docs: DataFrame) -> DataFrame:

@@ -167,6 +167,34 @@ def test_patterns_find_unseen_identifiers(spark):
     assert [tuple(s) for s in got[99]] == [(3, 18, 30)] and got[98] == []
 
 
+def test_discovered_identifiers_induce_patterns(spark):
+    """Base seeds -> pattern A -> local numbers -> pattern B, without a seed -> an unseen number -> pattern C."""
+    seen = [f"555-771-{i:04d}" for i in range(40)]
+    further = [f"555-882-{i:04d}" for i in range(40)]
+    texts_ = [f"please call me at +1 (017) 555-77{i:02d} soon" for i in range(60)]
+    texts_ += [f"please call me at {x} soon" for x in seen[:12]]
+    texts_ += [f"my desk line is {x} today" for x in seen[:12] + further[:6]]
+    texts_ += [f"fax goes to {x} only" for x in [*further[:6], "555-999-1234"]]
+    texts_ += ["order number of 555-000-1234 shipped"]
+    rows = list(enumerate(texts_))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in pii.find_pii(docs).collect()}
+    for i, t in rows[60:-1]:
+        at = t.index("555")
+        assert got[i] == [(3, at, at + 12)], t
+    assert got[rows[-1][0]] == []
+
+
+def test_context_after_long_spans_and_of_whole_words():
+    phone = "+1 2 3 4 5 6 7 8 9 0 1 2"
+    text = f"call me {phone} today"
+    (one,) = pii.instances(text, pii.base_spans(text))
+    assert one[:3] == (3, 8, 8 + len(phone)) and one[5] == ["call me _", "me _ today"]
+    words = ["w" * 60 + x for x in "ab"]
+    found = [pii.instances(f"x {w} 5557713999 end", [])[0][5] for w in words]
+    assert not set(found[0]) & set(found[1])
+
+
 # ---- secrets ------------------------------------------------------------------------------------
 
 def test_secret_base_spans_and_markov(spark):
