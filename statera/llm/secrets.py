@@ -3,12 +3,14 @@ r"""Secrets by base patterns and character Markov models, in DataFrame expressio
 Base spans, leftmost and non-overlapping per kind: ``assign`` (a keyword, = or :, and a value of six
 or more characters), ``access`` (AKIA and 16 or more capitals and digits) and ``hex`` (24 or more
 hex digits). Then two first-order Markov models of characters are trained over all texts: one of
-random strings from the values that the base patterns label, one of ordinary identifiers from the
-runs of 16 or more identifier characters that are letters alone. Runs that hold letters and digits
-and overlap no base span are compared by the log-likelihood ratio of the two; those with a ratio of
-``TOTAL`` or more, and ``MEAN`` or more a character, are added with kind ``markov``.
-
-The models have a fixed alphabet of 66 characters, so their table of 4356 ratios is broadcast.
+random strings from the values that the base patterns label, one of ordinary text from all runs of 8
+or more identifier characters that overlap no base span, whatever characters they are of; words by far
+outnumber the secrets among them. Each of these runs is compared by the log-likelihood ratio of the
+two, in which the ordinary model is that of all other runs: all occurrences of its own value are taken
+out, so that a secret never vouches for itself. Those with a ratio of ``TOTAL`` or more, and ``MEAN`` or
+more a character, are added with kind ``markov``.
+
+The models have a fixed alphabet of 66 characters, so their table of 4356 pairs is broadcast.
 Offsets count code points, end exclusive. Null and empty texts have no spans. Repeated rows get the
 same spans. Without base spans or without ordinary runs there is nothing to compare and none are
 added. An empty table gives an empty result. Other columns are not read.
@@ -16,20 +18,21 @@ added. An empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import landed, scratch, table
+from .common import landed, passes, scratch, slot_filter, table
 
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = r"AKIA[A-Z0-9]{16,}"   # of a run too short no later start is long enough either
 HEX = r"[0-9a-f]{24,}+"
-RUN = r"[A-Za-z0-9+/_=-]{16,}+"
+RUN = r"[A-Za-z0-9+/_=-]{8,}+"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 SMOOTH, TOTAL, MEAN = 0.5, 16.0, 0.8
 LEAST_SAMPLES = 20
+CHUNK = 256  # matches whose offsets are summed up together
 FOUND = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
@@ -53,7 +56,14 @@ def located(text: Column, pattern: str, kind: int, value_group: int = 0) -> Colu
         b = a + F.char_length(p["m"])
         one = F.struct(a.alias("start"), F.lit(kind).alias("kind"), b.alias("end"), p["v"].alias("value"))
         return F.struct(b.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-    return F.aggregate(parts, start, step, lambda acc: acc["out"])
+
+    def chunk(acc: Column, ps: Column) -> Column:  # what is found is copied once a chunk, not once a match
+        own = F.aggregate(ps, F.struct(acc["at"].alias("at"), _none().alias("out")), step)
+        return F.transform(F.array(own), lambda x: F.struct(
+            x["at"].alias("at"), F.concat(acc["out"], x["out"]).alias("out")))[0]
+    chunks = F.transform(F.sequence(F.lit(0), F.floor(F.size(parts) / CHUNK).cast("int")),
+                         lambda i: F.slice(parts, i * CHUNK + 1, F.lit(CHUNK)))
+    return F.aggregate(chunks, start, chunk, lambda acc: acc["out"])
 
 
 def base_found(text: Column) -> Column:
@@ -86,21 +96,34 @@ def pairs_of(value: Column) -> Column:
     return F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(value, i, F.lit(2))))
 
 
-def ratios(samples: DataFrame) -> DataFrame:
-    """pair, ratio: log of the probabilities of the second character after the first in random strings
-    and in ordinary identifiers; ``samples`` has value and random (boolean)."""
-    spark, n = samples.sparkSession, len(ALPHABET)
-    counts = samples.select("random", F.explode(pairs_of(F.col("value"))).alias("pair")).groupBy("random", "pair").count()
+def pair_counts(labelled: DataFrame, values: DataFrame) -> DataFrame:
+    """pair, first, random (log of the probability of the second character after the first in random strings),
+    o and all_o (how often ordinary runs have the pair, and its first character before another one);
+    ``labelled`` has value, ``values`` value and its occurrences c."""
+    spark, n = values.sparkSession, len(ALPHABET)
+    pairs = F.explode(pairs_of(F.col("value"))).alias("pair")
+    r = labelled.select(pairs).groupBy("pair").agg(F.count("*").alias("r"))
+    o = values.select("c", pairs).groupBy("pair").agg(F.sum("c").alias("o"))
     letter = lambda at: F.substring(F.lit(ALPHABET), at.cast("int") + 1, F.lit(1))
     every = spark.range(n * n).select(F.concat(letter(F.floor(F.col("id") / n)), letter(F.col("id") % n)).alias("pair"))
-    both = counts.groupBy("pair").agg(
-        F.sum(F.when(F.col("random"), F.col("count")).otherwise(0)).alias("r"),
-        F.sum(F.when(~F.col("random"), F.col("count")).otherwise(0)).alias("o"))
-    full = every.join(both, "pair", "left").select("pair", F.substring("pair", 1, 1).alias("first"),
-                                                   F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("o", F.lit(0)).alias("o"))
+    full = every.join(r, "pair", "left").join(o, "pair", "left").select(
+        "pair", F.substring("pair", 1, 1).alias("first"), F.coalesce("r", F.lit(0)).alias("r"), F.coalesce("o", F.lit(0)).alias("o"))
     after = full.groupBy("first").agg(F.sum("r").alias("all_r"), F.sum("o").alias("all_o"))
-    chance = lambda c, total: F.log((F.col(c) + SMOOTH) / (F.col(total) + SMOOTH * n))
-    return full.join(after, "first").select("pair", (chance("r", "all_r") - chance("o", "all_o")).alias("ratio"))
+    return full.join(after, "first").select(
+        "pair", "first", F.log((F.col("r") + SMOOTH) / (F.col("all_r") + SMOOTH * n)).alias("random"), "o", "all_o")
+
+
+def random_values(values: DataFrame, model: DataFrame) -> DataFrame:
+    """Those of ``values`` (vid, value, c) that pass ``TOTAL`` and ``MEAN``, each against the other values."""
+    every = model.agg(F.sum("o")).first()[0]
+    pairs = values.select("vid", "c", F.explode(pairs_of(F.col("value"))).alias("pair")) \
+        .groupBy("vid", "c", "pair").agg(F.count("*").alias("m")).join(F.broadcast(model), "pair")
+    own = F.sum(F.col("c") * F.col("m")).over(Window.partitionBy("vid", "first"))
+    ordinary = F.log((F.col("o") - F.col("c") * F.col("m") + SMOOTH) / (F.col("all_o") - own + SMOOTH * len(ALPHABET)))
+    passed = pairs.withColumn("ratio", F.col("m") * (F.col("random") - ordinary)).groupBy("vid", "c") \
+        .agg(F.sum("ratio").alias("total"), F.sum("m").alias("n")) \
+        .where((F.col("total") >= TOTAL) & (F.col("total") >= MEAN * F.col("n")) & (F.col("c") * F.col("n") < every))
+    return values.join(passed.select("vid"), "vid").select("value", F.xxhash64("value").alias("h"))
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
@@ -112,20 +135,16 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     read = landed(read.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "base",
                               apart(F.col("runs"), F.col("base")).alias("runs")), f"{work}/read")
     runs = read.select("uid", F.explode("runs").alias("run")).select("uid", "run.*")
-    letters, digits = F.col("value").rlike("[A-Za-z]"), F.col("value").rlike("[0-9]")
-    samples = read.select(F.explode("base").alias("b")).select("b.value", F.lit(True).alias("random")).unionByName(
-        runs.where(letters & ~digits).select("value", F.lit(False).alias("random")))
-    labels = {r["random"]: r["n"] for r in samples.groupBy("random").agg(F.count("*").alias("n")).collect()}  # two rows
-    spans = F.transform("base", lambda s: s)
-    if min(labels.get(True, 0), labels.get(False, 0)) < LEAST_SAMPLES:
-        return read.select("doc_id", "base", spans.alias("spans"))
-    model = landed(ratios(samples), f"{work}/ratios")
-    unsure = runs.where(letters & digits)
-    values = unsure.select("value").distinct()
-    scored = values.select("value", F.explode(pairs_of(F.col("value"))).alias("pair")) \
-        .join(F.broadcast(model), "pair").groupBy("value").agg(F.sum("ratio").alias("total"), F.count("*").alias("n")) \
-        .where((F.col("total") >= TOTAL) & (F.col("total") >= MEAN * F.col("n"))).select("value")
-    added = unsure.join(scored, "value").groupBy("uid").agg(
+    labelled = read.select(F.explode("base").alias("b")).select("b.value")
+    values = runs.groupBy("value").agg(F.count("*").alias("c")).withColumn("vid", F.monotonically_increasing_id())
+    values = landed(values, f"{work}/values")
+    if min(labelled.count(), values.agg(F.sum("c")).first()[0] or 0) < LEAST_SAMPLES:
+        return read.select("doc_id", "base", F.col("base").alias("spans"))
+    model = landed(pair_counts(labelled, values), f"{work}/pairs")
+    scored = landed(random_values(values, model), f"{work}/random")
+    # few runs are random: the others stay where they are
+    unsure = runs.where(passes(slot_filter(scored, "h"), F.xxhash64("value")))
+    added = unsure.join(scored.select("value"), "value").groupBy("uid").agg(
         F.collect_list(F.struct("start", "kind", "end", "value")).alias("added"))
     return read.select("uid", "doc_id", "base").join(added, "uid", "left").select(
         "doc_id", "base", F.array_sort(F.concat("base", F.coalesce("added", _none()))).alias("spans"))

@@ -215,6 +215,30 @@ def test_secret_base_spans_and_markov(spark):
     assert [(s.start, s.kind) for s in got[900].spans] == [(4, 3)]
 
 
+def test_random_runs_of_letters_and_short_ones(spark):
+    """Letters alone and runs of 8 to 15 characters are scored; words, numbers and dates stay ordinary."""
+    r = random.Random(8)
+    chars = secrets.ALPHABET[:62]
+    parts = "ba no ti re sol men que vi fu go ja ky del hum wor pax zen cli".split()
+    words = ["".join(r.choices(parts, k=4)) for _ in range(300)]
+    words = [w.upper() if i % 3 == 0 else w.title() if i % 3 == 1 else w for i, w in enumerate(words)]
+    rows = [(i, f'token = "{"".join(r.choices(chars, k=32))}" ' + " ".join(r.choices(words, k=60)) +
+             f" 2024-0{i % 9 + 1}-1{i % 10} {r.randrange(10**9, 10**10)}") for i in range(300)]
+    letters, short = "".join(r.choices(chars[:52], k=18)), "".join(r.choices(chars, k=12))
+    rows += [(900, f"use {letters} now"), (901, f"{words[0]} {short}"), (902, f"{words[1]}{words[2]} 2023-01-01")]
+    got = {x.doc_id: x for x in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s.start, s.kind, s.value) for s in got[900].spans] == [(4, 3, letters)]
+    assert [(s.kind, s.value) for s in got[901].spans] == [(3, short)]
+    assert got[902].spans == [] and all(len(got[i].spans) == 1 for i in range(300))
+
+
+def test_offsets_beyond_a_chunk(spark):
+    text = " ".join(f"é{'x' * (i % 7)} run{i:06d}" for i in range(secrets.CHUNK * 2 + 3))
+    docs = spark.createDataFrame([(1, text), (2, " ".join(text.split()[:2 * secrets.CHUNK]))], "doc_id long, text string")
+    for r in docs.select("text", secrets.located(F.col("text"), secrets.RUN, 3).alias("found")).collect():
+        assert [(f.start, f.end, f.value) for f in r.found] == [(*m.span(), m[0]) for m in re.finditer("[A-Za-z0-9+/_=-]{8,}", r.text)]
+
+
 # ---- near duplicates ----------------------------------------------------------------------------
 
 def brute_components(rows):
