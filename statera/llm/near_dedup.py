@@ -25,8 +25,8 @@ shingles of ``width`` words, two in op7 (its whole sequence if it has fewer word
    a group of near copies of any size is joined by one pivot.
 4. Union-find: hooking each label to the smallest it is linked with and halving paths, by joins.
 
-Null or empty texts have an empty set and are linked with nothing. Rows with a null id take no part:
-component_id is null and they are kept. Repeated rows share class and component. Other columns are
+Null or empty texts have an empty set and are linked with nothing. In op7 rows with a null id take no
+part: component_id is null and they are kept; ``one_of_each_group`` lets them take part. Repeated rows share class and component. Other columns are
 not read. An empty table gives an empty result.
 """
 
@@ -264,10 +264,11 @@ def _linked(inter: str = "inter", na: str = "na", nb: str = "nb"):
 
 
 class NearDuplicates:
-    """``decide`` gives one row per document: doc_id, content, n, k0, k1, component_id."""
+    """``decide`` gives one row per document: doc_id, content, n, k0, k1, label (of its group; null for an
+    empty set), component_id. Rows with a null id take part only if ``null_ids`` is set."""
 
-    def __init__(self, docs: DataFrame, width: int = 2):
-        self.docs, self.spark, self.width = docs, docs.sparkSession, width
+    def __init__(self, docs: DataFrame, width: int = 2, null_ids: bool = False):
+        self.docs, self.spark, self.width, self.null_ids = docs, docs.sparkSession, width, null_ids
         self.work = scratch(self.spark, "near-dedup")
         bounded_batches(self.spark)
 
@@ -284,8 +285,9 @@ class NearDuplicates:
 
     def decide(self) -> DataFrame:
         sketch = self._land(sketched(self.docs, self.width), "sketch")
-        classes = sketch.where("n > 0 AND doc_id IS NOT NULL").groupBy("k0", "k1").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+        classes = sketch.where("n > 0" if self.null_ids else "n > 0 AND doc_id IS NOT NULL").groupBy("k0", "k1").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")).alias("s"),
+            F.first("n").alias("n"), F.first("bands").alias("bands")).select("k0", "k1", "s.doc_id", "s.content", "n", "bands")
         self.classes = classes = self._land(classes.withColumn("nid", F.monotonically_increasing_id()), "classes")
         rows = classes.select("nid", F.explode("bands").alias("band"))
         counts = rows.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
@@ -295,11 +297,15 @@ class NearDuplicates:
             .agg(F.max(F.struct("weight", "nid")).getField("nid").alias("pivot"))
         members = self._land(members.select("band", "nid").join(pivots, "band"), "members")
 
-        wanted = members.select("nid").distinct().join(classes.select("nid", "doc_id", "k0", "k1"), "nid")
+        wanted = members.select("nid").distinct().join(classes.select("nid", "doc_id", "content", "k0", "k1"), "nid")
         wanted = self._land(wanted, "wanted")
-        texts = self.docs.select(self.docs["doc_id"].cast("long").alias("doc_id"),
-                                 F.coalesce(self.docs["text"], F.lit("")).cast("binary").alias("text"))
-        sets = texts.join(wanted, "doc_id").select("nid", "k0", "k1", "text") \
+        text = F.coalesce(self.docs["text"], F.lit("")).cast("binary")
+        texts = self.docs.select(self.docs["doc_id"].cast("long").alias("doc_id"), F.md5(text).alias("content"), text.alias("text"))
+        found = texts.join(wanted, ["doc_id", "content"]).select("nid", "k0", "k1", "text")
+        if self.null_ids:  # copies without an id become one before they travel
+            same = texts.where("doc_id IS NULL").groupBy("content").agg(F.first("text").alias("text"))
+            found = found.unionByName(same.join(wanted.where("doc_id IS NULL"), "content").select("nid", "k0", "k1", "text"))
+        sets = found \
             .mapInArrow(partial(_sets, width=self.width), "nid long, members binary").dropDuplicates(["nid"])
         sets = self._land(sets, "sets")
 
@@ -313,11 +319,13 @@ class NearDuplicates:
             .select("doc_id", "nid", F.coalesce("label", "nid").alias("label"))
         component = least.join(labels.select("label").distinct(), "label", "left_semi").groupBy("label") \
             .agg(F.min("doc_id").alias("component_id"))
-        least = least.join(component, "label", "left").select("nid", F.coalesce("component_id", "doc_id").alias("component_id"))
-        known = classes.select("k0", "k1", "nid").join(least, "nid").select("k0", "k1", "component_id")
-        return sketch.drop("bands").join(known, ["k0", "k1"], "left").withColumn(
-            "component_id", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("component_id"))
-            .otherwise(F.col("doc_id")))
+        least = least.join(component, "label", "left") \
+            .select("nid", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
+        known = classes.select("k0", "k1", "nid").join(least, "nid").select("k0", "k1", "label", "component_id")
+        takes_part = F.col("n") > 0 if self.null_ids else F.col("doc_id").isNotNull() & (F.col("n") > 0)
+        return sketch.drop("bands").join(known, ["k0", "k1"], "left") \
+            .withColumn("label", F.when(takes_part, F.col("label"))) \
+            .withColumn("component_id", F.when(takes_part, F.col("component_id")).otherwise(F.col("doc_id")))
 
     def _rest(self, members: DataFrame, seen: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
         """Goes on with the buckets that hold several groups until none has an unverified pair."""
@@ -402,23 +410,31 @@ class NearDuplicates:
 
 
 def one_of_each_group(docs: DataFrame, width: int = 2) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each group the row with the smallest id stays (of
-    several texts under that id, the one with the smallest digest; of repeated rows, one). Rows
-    without an id stay."""
-    run = NearDuplicates(docs, width)
-    decided = run._land(run.decide().where("doc_id IS NOT NULL").groupBy("component_id", "doc_id", "content")
+    """The rows of ``docs`` without near copies: of each group one row stays, that with the smallest id (rows
+    without an id come last; of several texts under that id, the one with the smallest digest; of repeated
+    rows, one). Different groups under one id each keep a row. Of texts without words, repeated rows become
+    one, and rows without an id stay."""
+    run = NearDuplicates(docs, width, null_ids=True)
+    decided = run._land(run.decide().where("n > 0 OR doc_id IS NOT NULL").groupBy("label", "doc_id", "content")
                         .agg(F.count("*").alias("n")), "decided")
-    # documents with an empty set are their own group, whatever their text
-    stay = decided.groupBy("component_id").agg(F.min(F.struct("doc_id", "content", "n")).alias("s")) \
+    # documents with an empty set are their own group
+    own = F.when(F.col("label").isNull(), F.struct("doc_id", "content")).alias("own")
+    stay = decided.groupBy("label", own) \
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content", "n")).alias("s")) \
         .select("s.doc_id", "s.content", (F.col("s.n") > 1).alias("repeated"))
     stay = run._land(stay, "stay")
+    text = F.coalesce(docs["text"], F.lit("")).cast("binary")
     rows = docs.select(with_row(docs).alias("row"), docs["doc_id"].cast("long").alias("doc_id"),
-                       F.md5(F.coalesce(docs["text"], F.lit("")).cast("binary")).alias("content"))
+                       F.md5(text).alias("content"), docs["text"].rlike(r"[^\x20\x09-\x0D]").alias("words"))
     kept = rows.where("doc_id IS NOT NULL").join(stay, ["doc_id", "content"])
-    if not stay.where("repeated").isEmpty():
+    if not stay.where("repeated AND doc_id IS NOT NULL").isEmpty():
         kept = kept.where("NOT repeated").unionByName(
             kept.where("repeated").dropDuplicates(["doc_id", "content"]))
-    return kept.select("row").unionByName(rows.where("doc_id IS NULL").select("row")).select("row.*")
+    without = rows.where("doc_id IS NULL")
+    one = without.where("words").groupBy("content").agg(F.first("row").alias("row")) \
+        .join(stay.where("doc_id IS NULL").select("content"), "content", "left_semi")
+    return kept.select("row").unionByName(one.select("row")) \
+        .unionByName(without.where("NOT coalesce(words, false)").select("row")).select("row.*")
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

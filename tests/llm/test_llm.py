@@ -322,6 +322,21 @@ def test_near_copies_around_the_limit_match_brute_force(spark):
     assert {x.doc_id: (x.n, x.component_id) for x in got} == want
 
 
+def test_stage_keeps_a_row_of_each_group_whatever_the_ids(spark):
+    r = random.Random(9)
+    a, b, c, d = (" ".join(f"{x}{r.randrange(10**6)}" for _ in range(60)) for x in "abcd")
+    near = lambda t: t + " end"
+    rows = [(5, a), (5, b), (6, near(a)), (7, near(b)), (5, a), (None, a), (None, c), (None, c), (None, near(c)),
+            (None, d), (8, near(d)), (9, ""), (9, ""), (9, c.upper() + " z"), (None, ""), (None, None), (10, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for width in (2, 5):
+        got = collections.Counter((x.doc_id, x.text) for x in near_dedup.one_of_each_group(docs, width).collect())
+        assert got == collections.Counter([(5, a), (5, b), (8, near(d)), (9, ""), (9, c.upper() + " z"), (None, ""), (None, None), (10, " ")])
+    only = spark.createDataFrame([(None, c), (None, near(c)), (None, c), (None, d)], "doc_id long, text string")
+    got = [x.text for x in near_dedup.one_of_each_group(only).collect()]
+    assert len(got) == 2 and d in got
+
+
 def test_long_paths_are_united(spark):
     order = list(range(200))
     random.Random(2).shuffle(order)
