@@ -31,7 +31,6 @@ HEX = r"[0-9a-f]{24,}+"
 RUN = r"[A-Za-z0-9+/_=-]{8,}+"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 SMOOTH, TOTAL, MEAN = 0.5, 16.0, 0.8
-LEAST_SAMPLES = 20
 CHUNK = 256  # matches whose offsets are summed up together
 FOUND = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -138,7 +137,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     labelled = read.select(F.explode("base").alias("b")).select("b.value")
     values = runs.groupBy("value").agg(F.count("*").alias("c")).withColumn("vid", F.monotonically_increasing_id())
     values = landed(values, f"{work}/values")
-    if min(labelled.count(), values.agg(F.sum("c")).first()[0] or 0) < LEAST_SAMPLES:
+    if labelled.isEmpty() or values.isEmpty():
         return read.select("doc_id", "base", F.col("base").alias("spans"))
     model = landed(pair_counts(labelled, values), f"{work}/pairs")
     scored = landed(random_values(values, model), f"{work}/random")

@@ -232,6 +232,18 @@ def test_random_runs_of_letters_and_short_ones(spark):
     assert got[902].spans == [] and all(len(got[i].spans) == 1 for i in range(300))
 
 
+def test_few_samples_are_compared_too(spark):
+    r = random.Random(3)
+    words = " ".join(c * 40 for c in "xyXY12")
+    rows = [(i, f'token = "{"".join(r.choices("xyXY12", k=64))}" {words}') for i in range(6)]
+    rows += [(7, f"use {''.join(r.choices('xyXY12', k=60))} now")]
+    got = {x.doc_id: x for x in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(s.start, s.kind, s.end) for s in got[7].spans] == [(4, 3, 64)]
+    for some in (rows[6:], [(1, "token = abcdefgh")]):  # one side is empty
+        found = secrets.find_secrets(spark.createDataFrame(some, "doc_id long, text string")).collect()
+        assert all(x.spans == x.base for x in found)
+
+
 def test_offsets_beyond_a_chunk(spark):
     text = " ".join(f"é{'x' * (i % 7)} run{i:06d}" for i in range(secrets.CHUNK * 2 + 3))
     docs = spark.createDataFrame([(1, text), (2, " ".join(text.split()[:2 * secrets.CHUNK]))], "doc_id long, text string")
