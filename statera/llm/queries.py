@@ -5,6 +5,7 @@ op5 is filled in turns; these have no SQL and are tested by brute force or held-
 
 from __future__ import annotations
 
+from .centroids import OP13_SQL, op13_centroids
 from .decontaminate import OP3_SQL, op3_decontamination
 from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .language import op9_language
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_language": op9_language,
     "op10_mixing": op10_mixing,
+    "op13_centroids": op13_centroids,
 }
 
 SQL = {
@@ -35,4 +37,5 @@ SQL = {
     "op3_decontamination": OP3_SQL,
     "op7_near_duplicates": OP7_SQL,
     "op10_mixing": OP10_SQL,
+    "op13_centroids": OP13_SQL,
 }
