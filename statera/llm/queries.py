@@ -11,6 +11,7 @@ from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .language import op9_language
 from .mixing import OP10_SQL, op10_mixing
 from .near_dedup import OP7_SQL, op7_near_duplicates
+from .periodic import op12_periodic_runs
 from .pii import op4_pii
 from .quality import op6_quality
 from .secrets import op8_secrets
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_language": op9_language,
     "op10_mixing": op10_mixing,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_centroids": op13_centroids,
 }
 
