@@ -1,7 +1,8 @@
 """The registered queries of this subpackage and their DuckDB SQL, where SQL can express them.
 
-op4 and op8 add spans by learnt patterns and models, op6 and op9 are fitted models, and the table of
-op5 is filled in turns; these have no SQL and are tested by brute force or held-out accuracy."""
+op4 and op8 add spans by learnt patterns and models, op6 and op9 are fitted models, the table of op5 is filled
+in turns, op11 is approximate and op12 searches sequences; these have no SQL and are tested by brute force, recall
+or held-out accuracy."""
 
 from __future__ import annotations
 
@@ -11,6 +12,7 @@ from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .language import op9_language
 from .mixing import OP10_SQL, op10_mixing
 from .near_dedup import OP7_SQL, op7_near_duplicates
+from .neighbours import op11_neighbours
 from .periodic import op12_periodic_runs
 from .pii import op4_pii
 from .quality import op6_quality
@@ -29,6 +31,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_language": op9_language,
     "op10_mixing": op10_mixing,
+    "op11_neighbours": op11_neighbours,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_centroids": op13_centroids,
 }
