@@ -11,8 +11,8 @@ freedom.
   at its ends, ``CELLS`` at most, are dealt by hash into blocks of about ``BLOCK_BYTES`` of vectors, and each block is a
   kd-tree with leaves of ``LEAF`` vectors, written as one row. A cell with a third of all rows is only more blocks.
 * Search in a block: leaves are opened in the order of their boxes' distances, and projected neighbours verified
-  on the original vectors, nearest first, until the chi-square test holds: the next projected distance exceeds
-  ``quantile(CERTAINTY) * d``, d being the k-th smallest true distance so far. A vector nearer than d is then
+  on the original vectors, shell by shell from the query on, until the chi-square test holds: the next projected
+  distance exceeds ``quantile(CERTAINTY) * d``, d being the k-th smallest true distance so far. A vector nearer than d is then
   passed over with a probability of at most 1 - ``CERTAINTY``.
 * Every query first searches one block of its own cell, which bounds its k-th distance. It then goes to the
   blocks of all cells that the ball of the test's radius meets, with that bound; what the blocks return is merged.
@@ -47,7 +47,7 @@ BLOCK_BYTES, LEAF = 4 << 20, 64
 GROUP = 256
 SEED = 11
 SALTS = 16
-NEAR = 1e-9  # distances that differ by less are told apart by the exact inner product
+NEAR = 1e-9  # what a projected distance may be off by
 FOUND = "qid long, score double, vec_id long"
 ASKED = "qid long, vector binary, bound double, cell int, block int"
 
@@ -71,6 +71,7 @@ class Space:
     width: int  # components of the longest vector
     longest: float  # the largest norm
     dims: int = DIMS
+    kind: type = np.float64  # of the indexed vectors' components; all sums are of doubles
     axes: np.ndarray | None = None  # a complete binary tree of splits, the root first
     cuts: np.ndarray | None = None
 
@@ -174,7 +175,7 @@ def _tree(rows: pa.Table, space: Space) -> pa.Table:
     ids = rows.column("ids").combine_chunks().take(pa.array(order))
     sizes = np.diff(np.asarray(ids.offsets))
     low, high = (f.reduceat(points, starts[:-1], axis=0) for f in (np.minimum, np.maximum))
-    packed = [x.tobytes() for x in (starts, low, high, points, vectors, np.concatenate([[0], np.cumsum(sizes)]),
+    packed = [x.tobytes() for x in (starts, low, high, points, vectors.astype(space.kind), np.concatenate([[0], np.cumsum(sizes)]),
                                     ids.flatten().to_numpy().astype(np.int64))]
     return pa.table({"cell": rows.column("cell").slice(0, 1), "block": rows.column("block").slice(0, 1),
                      **{name: pa.array([x], pa.binary()) for name, x in zip(PACKED, packed, strict=True)}})
@@ -186,13 +187,21 @@ TREE = "cell int, block int, " + ", ".join(f"{c} binary" for c in PACKED)
 
 class Block:
     def __init__(self, row: dict, space: Space, certainty: float):
-        part = {c: np.frombuffer(row[c], np.int64 if c in ("starts", "offsets", "ids") else np.float64) for c in PACKED}
+        part = {c: np.frombuffer(row[c], np.int64 if c in ("starts", "offsets", "ids") else np.float64)
+                for c in PACKED if c != "vectors"}
         self.starts, self.offsets, self.ids = part["starts"], part["offsets"], part["ids"]
         self.low, self.high, self.points = (part[c].reshape(-1, space.dims) for c in ("low", "high", "points"))
-        self.vectors = part["vectors"].reshape(-1, space.width)
+        self.vectors = np.frombuffer(row["vectors"], space.kind).reshape(-1, space.width)
+        self.near = NEAR if space.kind == np.float64 else 1e-5  # what a verified distance may be off by
+        self.places, self.lengths = np.arange(len(self.points)), (self.points * self.points).sum(axis=1)
         self.copies = np.diff(self.offsets)
         self.reach, self.longest = quantile(certainty, space.dims), space.longest
 
+    @staticmethod
+    def _products(matrix: np.ndarray, rows: np.ndarray, vector: np.ndarray) -> np.ndarray:
+        """Of some rows with a vector; of very many it is cheaper to leave them where they are."""
+        return (matrix @ vector)[rows] if 4 * len(rows) > len(matrix) else matrix[rows] @ vector
+
     def nearest(self, query: np.ndarray, point: np.ndarray, bound: float, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Scores and ids of the k nearest rows, as far as they aren't beyond the squared distance ``bound``, and how
         many vectors were verified."""
@@ -201,42 +210,41 @@ class Block:
         order = np.argsort(gap, kind="stable")
         gap = gap[order]
         scale = 2 / (max(np.linalg.norm(query), 1e-300) * self.longest)
-        opened, more, step, verified = 0, 2, LEAF, 0
+        opened, verified, length, query = 0, 0, point @ point, query.astype(self.vectors.dtype)
         waiting, waiting_at = np.empty(0), np.empty(0, np.int64)  # projected neighbours in opened leaves
         best, best_at = np.empty(0), np.empty(0, np.int64)
         while True:
-            upto = int(np.searchsorted(gap, self.reach * bound + NEAR, side="right"))
-            leaves = order[opened:max(opened, min(opened + more, upto))]
-            opened, more = opened + len(leaves), 2 * more
+            radius = self.reach * bound + NEAR
+            upto = int(np.searchsorted(gap, radius, side="right"))
+            leaves = order[opened:max(opened, min(opened + max(2, opened), upto))]
+            opened += len(leaves)
             if len(leaves):
-                rows = np.concatenate([np.arange(self.starts[x], self.starts[x + 1]) for x in leaves])
-                d = self.points[rows] - point
-                waiting, waiting_at = np.append(waiting, (d * d).sum(axis=1)), np.append(waiting_at, rows)
-            # no leaf that isn't open has a nearer one than these
-            sure = waiting <= (gap[opened] if opened < upto else np.inf)
-            now, now_at = waiting[sure], waiting_at[sure]
-            waiting, waiting_at = waiting[~sure], waiting_at[~sure]
-            by = np.argsort(now)
-            now, now_at, at = now[by], now_at[by], 0
-            while at < len(now) and now[at] <= self.reach * bound + NEAR:  # else the test holds
-                rows = now_at[at:at + step]
-                at, step = at + step, min(2 * step, 1024)
+                rows = np.concatenate([self.places[self.starts[x]:self.starts[x + 1]] for x in leaves])
+                waiting, waiting_at = np.append(waiting, self._products(self.points, rows, -2 * point) + self.lengths[rows] + length), \
+                    np.append(waiting_at, rows)
+            # these are the next projected neighbours: no leaf that isn't open has a nearer one. Those beyond the
+            # radius are passed over by the test
+            frontier = gap[opened] if opened < upto else np.inf
+            rows = waiting_at[waiting <= min(frontier, radius)]
+            later = (waiting > frontier) & (waiting <= radius)
+            waiting, waiting_at = waiting[later], waiting_at[later]
+            if len(rows):
                 verified += len(rows)
-                d = 2 - scale * (self.vectors[rows] @ query)
-                near = d <= bound + NEAR
+                d = 2 - scale * self._products(self.vectors, rows, query).astype(np.float64)
+                near = d <= bound + self.near
                 best, best_at = np.append(best, d[near]), np.append(best_at, rows[near])
                 by = np.argsort(best)
                 best, best_at = best[by], best_at[by]
                 reached = int(np.searchsorted(np.cumsum(self.copies[best_at]), k))
                 if reached < len(best):
                     bound = min(bound, max(float(best[reached]), 0.0))
-                    left = int(np.searchsorted(best, bound + NEAR, side="right"))
+                    left = int(np.searchsorted(best, bound + self.near, side="right"))
                     best, best_at = best[:left], best_at[:left]
             if opened >= upto:
                 break
         if not len(best_at):
             return np.empty(0), np.empty(0, np.int64), verified
-        scores = np.repeat(np.cumsum(self.vectors[best_at] * query, axis=1)[:, -1], self.copies[best_at])
+        scores = np.repeat(np.cumsum(self.vectors[best_at].astype(np.float64) * query, axis=1)[:, -1], self.copies[best_at])
         ids = np.concatenate([self.ids[self.offsets[i]:self.offsets[i + 1]] for i in best_at])
         by = np.lexsort((ids, -scores))[:k]
         return scores[by], ids[by], verified
@@ -339,14 +347,15 @@ class Index:
         self.empty = not n
         if self.empty:
             return
-        self.space = space = Space(width, longest, dims)
+        kind = np.float32 if "array<float>" in dict(distinct.dtypes).values() else np.float64
+        self.space = space = Space(width, longest, dims, kind)
         block = max(LEAF, block_bytes // (8 * width))
         levels = max(0, min(int(math.log2(CELLS)), math.ceil(math.log2(n / block))))
-        kind = "ids array<long>, vector binary, point binary, cell int"
+        shape = "ids array<long>, vector binary, point binary, cell int"
         part = F.pmod(F.xxhash64(F.lit(SEED), F.col("ids")[0]), F.lit(1 << 40)) < int(min(1, SAMPLE / n) * (1 << 40))
-        sample = distinct.where(part).mapInArrow(partial(_projected, space=space), kind).select("point").collect()  # about SAMPLE rows
+        sample = distinct.where(part).mapInArrow(partial(_projected, space=space), shape).select("point").collect()  # about SAMPLE rows
         space.split(np.frombuffer(b"".join(r["point"] for r in sample), np.float64).reshape(-1, dims), levels)
-        points = landed(distinct.mapInArrow(partial(_projected, space=space), kind), f"{self.work}/points")
+        points = landed(distinct.mapInArrow(partial(_projected, space=space), shape), f"{self.work}/points")
         boxes = points.select("point", "cell").mapInArrow(
             partial(_boxes, space=space), "cell int, axis int, low double, high double, n long").groupBy("cell", "axis") \
             .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")) \
