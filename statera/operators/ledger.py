@@ -114,13 +114,13 @@ def _numbered(t: FinanceTables, p: StatementParams, by_vendor: bool) -> DataFram
         *LEDGER_COLUMNS, exact(nvl("opening_balance", 0)).alias("opening_balance"),
         (nvl("trx_amt", 0) + nvl("trx_wht", 0)).alias("movement"))
     return sequence_and_running_total(
-        led, ledger_order(), F.col("trx_date"), "movement", partition_by=["vendor_id"] if by_vendor else [],
-        seed="opening_balance", row_id="row_id", running="totals")
+        led, ledger_order(), "movement", partition_by=["vendor_id"] if by_vendor else [],
+        seed="opening_balance", row_id="row_id", running="totals", ordered=True)
 
 
 def statement_row_ids(t: FinanceTables, p: StatementParams) -> DataFrame:
     """Ledger rows with their sequence number (one sequence over all rows)."""
-    s = sequence_and_running_total(ledger_union(t, p), ledger_order(), F.col("trx_date"))
+    s = sequence_and_running_total(ledger_union(t, p), ledger_order())
     return s.select("row_id", *LEDGER_COLUMNS)
 
 
@@ -129,19 +129,16 @@ def _statement_projection(s: DataFrame) -> DataFrame:
         "row_id", "vendor_id", "rec_type", "sup_name", "sup_num", "trx_num", "patient_name",
         date_text("trx_date", "dd-MM-yyyy").alias("trx_date"), "trx_cur",
         *[exact(nvl(c, 0)).alias(c) for c in ("trx_amt", "trx_unpaid", "trx_deduction", "trx_wht")],
-        "p_from_date", "p_to_date", "opening_balance", exact("totals").alias("totals"),
-        F.col("trx_date").alias("_trx_day"))
+        "p_from_date", "p_to_date", "opening_balance", exact("totals").alias("totals"))
 
 
 def supplier_statement(t: FinanceTables, p: StatementParams) -> DataFrame:
     """R3 as the reference computes it for one supplier name: one row sequence over the
-    whole ledger, the first row's vendor opening balance seeds the running total."""
-    s = _statement_projection(_numbered(t, p, by_vendor=False))
-    return s.orderBy(F.col("_trx_day").asc_nulls_last(), "row_id").drop("_trx_day")
+    whole ledger, the first row's vendor opening balance seeds the running total. In date order."""
+    return _statement_projection(_numbered(t, p, by_vendor=False))
 
 
 def supplier_statement_by_vendor(t: FinanceTables, p: StatementParams) -> DataFrame:
     """R3 for all suppliers at once (``p.supplier`` may be None): numbering and running
-    balance restart per vendor, each seeded with that vendor's opening balance."""
-    s = _statement_projection(_numbered(t, p, by_vendor=True))
-    return s.orderBy("vendor_id", "row_id").drop("_trx_day")
+    balance restart per vendor, each seeded with that vendor's opening balance. By vendor, in date order."""
+    return _statement_projection(_numbered(t, p, by_vendor=True))

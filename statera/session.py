@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job benefits from: adaptive execution (runtime re-planning, skew-join
 # splitting, partition coalescing), exact session time zone, no UI server.
@@ -102,3 +102,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         raise RuntimeError("no checkpoint folder known for this session")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a parquet table in the shared folder and read back, until the driver ends: cuts the lineage at
+    files that survive a lost executor, and gives the planner true sizes."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return spark.read.schema(df.schema).parquet(path)

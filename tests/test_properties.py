@@ -35,7 +35,7 @@ def test_sliced_running_total_equals_window(spark, rows, slices, grouped):
     df = spark.createDataFrame(data, "g int, d int, k int, amt decimal(18,2)")
     order = [F.col("d").asc_nulls_last(), F.col("k").asc_nulls_last()]
     groups = ["g"] if grouped else []
-    got = sequence_and_running_total(df, order, amount="amt", partition_by=groups, slice_by=F.floor(F.col("d") * F.lit(slices) / 8))
+    got = sequence_and_running_total(df, order, amount="amt", partition_by=groups, slices=slices)
     w = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy(*order)
     want = df.select("k", F.row_number().over(w).alias("row_id"),
                      F.sum("amt").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("running_total"))

@@ -9,14 +9,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import dec
+from statera.operators import running
 from statera.operators.running import sequence_and_running_total
 
 
-def in_slices(n):
-    """Contiguous slices of the test order: by day, and within day by the running number."""
-    return F.floor((F.col("day") * 10000 + F.col("k")) * n / 60000)
-
-
 def _data(spark, n=3000, hot_share=0.4, seed=7):
     rnd = random.Random(seed)
     rows = []
@@ -31,7 +27,7 @@ def _data(spark, n=3000, hot_share=0.4, seed=7):
 def test_matches_plain_window(spark, groups, slices):
     df = _data(spark)
     order = [F.col("day").asc_nulls_last(), F.col("k").asc_nulls_last()]
-    got = sequence_and_running_total(df, order, amount="amt", partition_by=groups, seed="seed", slice_by=in_slices(slices))
+    got = sequence_and_running_total(df, order, amount="amt", partition_by=groups, seed="seed", slices=slices)
     w = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy(*order)
     first_seed = F.first("seed").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     want = df.select("*", F.row_number().over(w).cast("bigint").alias("row_id"),
@@ -45,7 +41,7 @@ def test_matches_plain_window(spark, groups, slices):
 
 def test_hot_group_spans_slices(spark):
     df = _data(spark, hot_share=0.9)
-    got = sequence_and_running_total(df, [F.col("day"), F.col("k")], amount="amt", partition_by=["g"], slice_by=in_slices(6))
+    got = sequence_and_running_total(df, [F.col("day"), F.col("k")], amount="amt", partition_by=["g"], slices=6)
     per_slice = got.filter(F.col("g") == 0).select("row_id").collect()
     assert len(per_slice) == df.filter(F.col("g") == 0).count()
     assert sorted(r.row_id for r in per_slice) == list(range(1, len(per_slice) + 1))
@@ -58,7 +54,7 @@ def test_null_amounts_and_seeds(spark, slices, groups):
             for g in (1, 2) for d in range(1, 6) for i in range(3)]
     df = spark.createDataFrame(rows, "g int, day int, k int, amt decimal(18,2), seed decimal(18,2)")
     order = [F.col("day"), F.col("k"), F.col("g")]
-    got = sequence_and_running_total(df, order, F.floor(F.col("day") * F.lit(slices) / 6), "amt", groups, "seed")
+    got = sequence_and_running_total(df, order, "amt", groups, "seed", slices=slices)
     w = Window.partitionBy(*groups).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     want = df.select("*", F.row_number().over(w).cast("bigint").alias("row_id"),
@@ -66,9 +62,33 @@ def test_null_amounts_and_seeds(spark, slices, groups):
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
 
 
-def test_building_runs_no_job(spark):
-    df = _data(spark, n=50)
-    spark.sparkContext.setJobGroup("lazy", "lazy")
-    sequence_and_running_total(df, [F.col("day"), F.col("k")], F.col("day"), "amt", ["g"])
-    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
-    spark.sparkContext.setJobGroup("", "")
+def test_a_hot_day_is_cut_into_several_windows(spark):
+    """A third of all rows on one day: no slice holds more than twice its share."""
+    df = spark.range(30_000).select(F.when(F.col("id") < 10_000, 3).otherwise(F.col("id") % 7).cast("int").alias("day"),
+                                    F.pmod(F.xxhash64("id"), F.lit(10**9)).alias("k"),
+                                    (F.col("id") % 13 - 6).cast("decimal(18,2)").alias("amt"))
+    order = [F.col("day").asc_nulls_last(), F.col("k").asc_nulls_last()]
+    sizes = running.in_slices(df, order, 12).groupBy(running.SLICE).agg(
+        F.count("*").alias("n"), F.sum((F.col("day") == 3).cast("int")).alias("hot")).collect()
+    assert len(sizes) == 12 and max(r.n for r in sizes) <= 2 * 30_000 / 12
+    assert sum(r.hot > 0 for r in sizes) >= 4
+    got = sequence_and_running_total(df, order, amount="amt", slices=12, ordered=True).collect()
+    w = Window.orderBy(*order)
+    want = df.select("*", F.row_number().over(w).cast("bigint").alias("row_id"),
+                     F.sum("amt").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("running_total")).orderBy("row_id").collect()
+    assert got == want
+
+
+def test_ordered_rows_are_exchanged_once_after_they_are_written(spark):
+    df = _data(spark)
+    got = sequence_and_running_total(df, [F.col("day"), F.col("k")], "amt", ["g"], "seed", slices=4, ordered=True)
+    rows = got.collect()
+    assert [(r.g, r.row_id) for r in rows] == sorted((r.g, r.row_id) for r in rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in final
+
+
+def test_no_rows(spark):
+    df = _data(spark, n=5).limit(0)
+    assert sequence_and_running_total(df, [F.col("k")], "amt", ["g"], "seed", ordered=True).collect() == []
