@@ -69,7 +69,7 @@ def with_trial_balance(df: DataFrame, t: FinanceTables) -> DataFrame:
 
 def aging_detail_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
     """Open invoice x installment x trial-balance rows with age and signed balance."""
-    inv = t.ap_invoices_all.filter(
+    inv = t.in_months("ap_invoices_all", None, p.as_on).filter(
         F.col("payment_status_flag").isin(*OPEN_PAYMENT_STATUS)
         & (F.col("invoice_date") < F.lit(p.as_on))
         & F.col("cancelled_date").isNull()
@@ -98,7 +98,7 @@ def ap_aging_detail(t: FinanceTables, p: AgingParams) -> DataFrame:
 
 
 def aging_summary_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
-    inv = t.ap_invoices_all.filter(F.col("invoice_date") < F.lit(p.as_on)).select(
+    inv = t.in_months("ap_invoices_all", None, p.as_on).filter(F.col("invoice_date") < F.lit(p.as_on)).select(
         "invoice_id", "vendor_id", "invoice_type_lookup_code", "invoice_date", "terms_id")
     ps = t.ap_payment_schedules_all.select("invoice_id")
     lookup = broadcast_if_small(

@@ -51,7 +51,7 @@ def opening_invoice_rows(t: FinanceTables, p: StatementParams) -> DataFrame:
     if p.supplier is not None:
         vendors = vendors.filter(F.col("vendor_name") == F.lit(p.supplier))
     vendors = broadcast_if_small(vendors.select("vendor_id"))
-    inv = (t.ap_invoices_all
+    inv = (t.in_months("ap_invoices_all", None, p.from_date - dt.timedelta(days=1))
            .filter(F.col("cancelled_date").isNull() & (F.col("invoice_date") <= cutoff))
            .select("invoice_id", "vendor_id", "invoice_type_lookup_code", "terms_id", "invoice_amount")
            .join(vendors, "vendor_id"))

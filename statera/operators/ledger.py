@@ -45,8 +45,10 @@ def invoice_tax_total(t: FinanceTables, invoices: DataFrame | None = None) -> Da
 def payment_wht_total(t: FinanceTables, checks: DataFrame | None = None) -> DataFrame:
     """Per check the AWT line amounts of every invoice the check pays; an invoice
     paid twice by the same check counts twice."""
-    pays = t.ap_invoice_payments_all.select("invoice_id", "check_id")
-    if checks is not None:
+    if checks is None:
+        pays = t.ap_invoice_payments_all.select("invoice_id", "check_id")
+    else:
+        pays = t.by("ap_invoice_payments_all", "check_id").select("invoice_id", "check_id")
         pays = restrict_to(pays, checks, "check_id")
     awt = t.ap_invoice_lines_all.filter(F.col("line_type_lookup_code") == "AWT").select("invoice_id", "amount")
     return awt.join(pays, "invoice_id").groupBy("check_id").agg(F.sum("amount").alias("wht_total"))
@@ -57,7 +59,7 @@ def _period_params(p: StatementParams) -> list:
 
 
 def statement_invoice_rows(t: FinanceTables, p: StatementParams) -> DataFrame:
-    inv = (t.ap_invoices_all
+    inv = (t.in_months("ap_invoices_all", p.from_date, p.to_date)
            .filter(F.col("approval_status").isin(*APPROVED_STATUS)
                    & F.col("wfapproval_status").isin(*WF_APPROVED_STATUS)
                    & day_between("invoice_date", p.from_date, p.to_date))
@@ -77,7 +79,7 @@ def statement_invoice_rows(t: FinanceTables, p: StatementParams) -> DataFrame:
 
 
 def statement_payment_rows(t: FinanceTables, p: StatementParams) -> DataFrame:
-    pays = (t.iby_payments_all
+    pays = (t.in_months("iby_payments_all", p.from_date, p.to_date)
             .filter(~F.col("payment_status").isin(*VOID_PAYMENT_STATUS)
                     & day_between("payment_date", p.from_date, p.to_date))
             .select("payment_id", "payment_reference_number", "payment_date", "payment_amount"))

@@ -88,12 +88,14 @@ def _finish(df: DataFrame, p: PatientParams) -> DataFrame:
 def trx_applied_total(t: FinanceTables, p: PatientParams, invoices: DataFrame | None = None) -> DataFrame:
     """A5: applied receipt amount per invoice (keys bill-to, party name, trx, account).
     G2 counts only invoices dated in the period."""
-    app = t.ar_receivable_applications_all.filter(F.col("status") == STATUS_APPLIED).select(
+    app = t.by("ar_receivable_applications_all", "applied_customer_trx_id").filter(F.col("status") == STATUS_APPLIED).select(
         "cash_receipt_id", "applied_customer_trx_id", "amount_applied")
     if invoices is not None:
         app = _semi(app, invoices, "applied_customer_trx_id", "customer_trx_id")
-    trx1 = t.ra_customer_trx_all.select("customer_trx_id", "bill_to_customer_id", "trx_date")
-    if p.options.applied_total_in_period:
+    in_period = p.options.applied_total_in_period
+    trx1 = t.in_months("ra_customer_trx_all", p.from_date, p.to_date) if in_period else t.ra_customer_trx_all
+    trx1 = trx1.select("customer_trx_id", "bill_to_customer_id", "trx_date")
+    if in_period:
         trx1 = trx1.filter(day_between("trx_date", p.from_date, p.to_date))
     acc, par = _accounts_parties(t)
     j = (app.join(t.ar_cash_receipts_all.select("cash_receipt_id"), "cash_receipt_id")
@@ -108,19 +110,23 @@ def invoice_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
     """Invoice lines x GL distributions of the patient's invoices with applied totals and
     functional amounts, before grouping."""
     fx = p.fx
-    trx = _select(t.ra_customer_trx_all, p, "attribute1", "attribute_category", sentinel=True)
-    if p.options.invoice_period_on_trx_date:
+    in_period = p.options.invoice_period_on_trx_date
+    trx = t.in_months("ra_customer_trx_all", p.from_date, p.to_date) if in_period else t.ra_customer_trx_all
+    trx = _select(trx, p, "attribute1", "attribute_category", sentinel=True)
+    if in_period:
         trx = trx.filter(F.col("trx_date").between(F.lit(p.from_date), F.lit(p.to_date)))
     trx = trx.select("customer_trx_id", "trx_number", "trx_date", "bill_to_customer_id", "invoice_currency_code",
                      "attribute_category", "attribute1", "attribute2", "attribute12", SELECTOR)
     acc, par = _accounts_parties(t)
     lines = t.ra_customer_trx_lines_all.filter(F.col("line_type") == "LINE").select(
         "customer_trx_line_id", "customer_trx_id", "extended_amount")
-    gl = t.ra_cust_trx_line_gl_dist_all.select("customer_trx_line_id", "gl_date")
-    j = (trx.join(acc, F.col("bill_to_customer_id") == F.col("cust_account_id"))
+    # with the transaction's id, all three are joined on it where they lie
+    gl = t.by("ra_cust_trx_line_gl_dist_all", "customer_trx_id")
+    on_line = [c for c in ("customer_trx_id", "customer_trx_line_id") if c in gl.columns]
+    gl = gl.select(*on_line, "gl_date")
+    j = (trx.join(lines, "customer_trx_id").join(gl, on_line)
+         .join(acc, F.col("bill_to_customer_id") == F.col("cust_account_id"))
          .join(par, "party_id")
-         .join(lines, "customer_trx_id")
-         .join(gl, "customer_trx_line_id")
          .join(trx_applied_total(t, p, trx if _single(p) else None),
                ["account_number", "customer_trx_id", "bill_to_customer_id", "party_name"], "left"))
     j = with_rate(j, rate_table(t, fx), "invoice_currency_code", "trx_date", "inv")
@@ -169,7 +175,8 @@ RECEIPT_KEYS = ["party_name", "customer_number", "receipt_number", "receipt_date
 
 
 def _receipts(t: FinanceTables, p: PatientParams, in_period: bool) -> DataFrame:
-    rc = t.ar_cash_receipts_all.filter(F.col("status") != STATUS_REVERSED)
+    rc = t.in_months("ar_cash_receipts_all", p.from_date, p.to_date) if in_period else t.ar_cash_receipts_all
+    rc = rc.filter(F.col("status") != STATUS_REVERSED)
     if in_period:
         rc = rc.filter(day_between("receipt_date", p.from_date, p.to_date))
     acc, par = _accounts_parties(t)
@@ -199,7 +206,7 @@ def receipt_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
     trx = _select(t.ra_customer_trx_all, p, "attribute1", "attribute_category",
                   sentinel=p.options.receipt_selector_sentinel).select(
         "customer_trx_id", "invoice_currency_code", SELECTOR)
-    app = t.ar_receivable_applications_all.filter(F.col("status") == STATUS_APPLIED).select(
+    app = t.by("ar_receivable_applications_all", "applied_customer_trx_id").filter(F.col("status") == STATUS_APPLIED).select(
         "cash_receipt_id", "applied_customer_trx_id", "amount_applied", "gl_date")
     j = (trx.join(app, F.col("customer_trx_id") == F.col("applied_customer_trx_id"))
          .join(_receipts(t, p, p.options.receipt_in_period), "cash_receipt_id"))

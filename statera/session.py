@@ -17,6 +17,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # column statistics of landed tables estimate what a filter leaves; a filtered side also cuts the other by a
+    # Bloom filter before it is shuffled
+    "spark.sql.cbo.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # a join on the bucketing id and one more column needs no shuffle either
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -47,6 +53,9 @@ def cluster_conf(shuffled_tb: float, executors: int, cores_per_executor: int = 4
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.cbo.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.session.timeZone": "UTC",
     }
 

@@ -1,21 +1,33 @@
-"""Physical layout of the finance relations: bucketed parquet tables.
-
-The facts are joined on their document id again and again (invoice x schedule x
-trial balance x distribution x payment on ``invoice_id``; receipt x application on
-``cash_receipt_id``; transaction x line on ``customer_trx_id``). Writing them
-bucketed (and sorted) by that id with one bucket count lets Spark join them without
-a shuffle: both sides already hash-partitioned the same way. Dimension tables are
-written plainly; they are broadcast while small.
+"""Physical layout of the finance relations: bucketed parquet tables with statistics.
+
+* **Buckets.** The facts are joined on their document id again and again (invoice x schedule x
+  trial balance x distribution x payment on ``invoice_id``; receipt x application on
+  ``cash_receipt_id``; transaction x line on ``customer_trx_id``). Writing them
+  bucketed (and sorted) by that id with one bucket count lets Spark join them without
+  a shuffle: both sides already hash-partitioned the same way. Dimension tables are
+  written plainly; they are broadcast while small.
+* **Second layouts.** Some facts are joined on two ids. They are written a second time, by the other one, and
+  operators ask for the layout that their join needs (``FinanceTables.by``): applications also by
+  transaction, invoice payments also by check, GL distributions by transaction (with its id, which they
+  lack, taken from their lines).
+* **Months.** Documents that statements select by a period are partitioned by the month of their day, which is a
+  column of the files' folders only. ``FinanceTables.in_months`` reads the months of a period alone, so
+  that a statement of one month lists and reads one month's files.
+* **Statistics.** Row counts and the distinct values, extremes and NULLs of the columns that jobs filter and join
+  on, in the catalog. With them the optimizer (``spark.sql.cbo.enabled``, see ``session.DEFAULT_CONF``)
+  estimates the documents of one supplier or patient as the few they are; they are broadcast to cut the facts in
+  their scans, and no fact is shuffled for a statement of one account.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .schema import RELATIONS
-from .tables import FinanceTables, empty_strings_as_null
+from .tables import MONTH, FinanceTables, empty_strings_as_null, layout_table, month_of
 
 BUCKET_KEYS: dict[str, str] = {
     "ap_invoices_all": "invoice_id",
@@ -24,12 +36,38 @@ BUCKET_KEYS: dict[str, str] = {
     "ap_invoice_distributions_all": "invoice_id",
     "ap_invoice_payments_all": "invoice_id",
     "ap_invoice_lines_all": "invoice_id",
+    "ap_checks_all": "check_id",
     "ra_customer_trx_all": "customer_trx_id",
     "ra_customer_trx_lines_all": "customer_trx_id",
     "ar_cash_receipts_all": "cash_receipt_id",
     "ar_receivable_applications_all": "cash_receipt_id",
 }
 
+# second layouts: the other id that a relation is joined on
+LAYOUT_KEYS: dict[str, str] = {
+    "ar_receivable_applications_all": "applied_customer_trx_id",
+    "ap_invoice_payments_all": "check_id",
+    "ra_cust_trx_line_gl_dist_all": "customer_trx_id",
+}
+
+# relations partitioned by the month of a date
+MONTH_OF: dict[str, str] = {
+    "ap_invoices_all": "invoice_date",
+    "iby_payments_all": "payment_date",
+    "ra_customer_trx_all": "trx_date",
+    "ar_cash_receipts_all": "receipt_date",
+}
+
+# columns whose statistics decide plans: join keys, and what accounts, periods and states are selected by
+STATISTICS = {
+    "vendor_id", "vendor_site_id", "party_id", "party_name", "vendor_name", "segment1", "lookup_type", "lookup_code",
+    "term_id", "terms_id", "invoice_id", "invoice_date", "payment_status_flag", "approval_status", "wfapproval_status",
+    "cancelled_date", "check_id", "payment_id", "payment_date", "payment_status", "accounting_date", "line_type_lookup_code",
+    "cust_account_id", "account_number", "customer_trx_id", "customer_trx_line_id", "trx_date", "bill_to_customer_id",
+    "attribute_category", "attribute1", "line_type", "cash_receipt_id", "receipt_date", "pay_from_customer", "status",
+    "applied_customer_trx_id", "from_currency", "to_currency", "conversion_date", "invoice_type_lookup_code",
+}
+
 
 def stage_driver_tables(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 8,
                         names: Iterable[str] = ("supplier", "customer", "orders", "lineitem")) -> str:
@@ -42,43 +80,66 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str, out_dir: str, files: i
     return out_dir
 
 
+def _layout_rows(source: FinanceTables, name: str, key: str) -> DataFrame:
+    """The rows of ``name`` with column ``key``, which GL distributions take from their lines."""
+    df = source.table(name)
+    if key in df.columns:
+        return df
+    owners = source.ra_customer_trx_lines_all.select("customer_trx_line_id", key).distinct()
+    return df.join(owners, "customer_trx_line_id")
+
+
 def land_tables(spark: SparkSession, source: FinanceTables, database: str = "default", buckets: int = 8,
                 relations: Iterable[str] = RELATIONS, parallel: int = 4,
                 location: str | None = None, normalize: bool = True,
-                bucket_keys: Mapping[str, str | None] | None = None) -> FinanceTables:
+                bucket_keys: Mapping[str, str | None] | None = None, layouts: bool = True,
+                months: bool = True, statistics: bool = True) -> FinanceTables:
     """Write every relation of ``source`` as a table of ``database`` (bucketed facts),
     and return FinanceTables reading them back from the catalog. With ``location`` the
     tables' files go to ``<location>/<relation>`` (e.g. a shared folder), otherwise to
     the catalog's warehouse. ``normalize`` writes '' as NULL (once, here), so readers
     need no per-read normalisation and keep their predicate pushdown. ``bucket_keys``
     overrides the bucketing keys (None: unbucketed, e.g. for a fact with a hot document).
-    Rows are dealt to buckets before the write, so that each bucket is one sorted file.
+    Rows are dealt to buckets before the write, so that each bucket is one sorted file (one per month).
+    ``layouts``, ``months`` and ``statistics`` switch the second layouts, the partitions by month and the
+    column statistics.
 
-    Relations are independent, so up to ``parallel`` of them are written at the same
+    Tables are independent, so up to ``parallel`` of them are written at the same
     time (Spark runs jobs submitted from several threads side by side and shares the
     executors between them).
     """
     from concurrent.futures import ThreadPoolExecutor
 
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = list(relations)
+    # build the DataFrames on this thread (plan construction is not parallel)
+    jobs = [(name, name, source.table(name), (bucket_keys or {}).get(name, BUCKET_KEYS.get(name))) for name in names]
+    if layouts:
+        jobs += [(layout_table(name, key), name, _layout_rows(source, name, key), key)
+                 for name, key in LAYOUT_KEYS.items() if name in names]
 
-    def write(name: str) -> None:
-        df = source.table(name)
+    def write(job: tuple[str, str, DataFrame, str | None]) -> None:
+        table, name, df, key = job
         df = empty_strings_as_null(df) if normalize else df
-        key = (bucket_keys or {}).get(name, BUCKET_KEYS.get(name))
+        by_month = months and name in MONTH_OF and table == name
+        if by_month:
+            df = df.withColumn(MONTH, month_of(F.col(MONTH_OF[name])))
         if key:
             df = df.repartition(buckets, key)
         writer = df.write.mode("overwrite").format("parquet")
         if location:
-            writer = writer.option("path", f"{location.rstrip('/')}/{name}")
+            writer = writer.option("path", f"{location.rstrip('/')}/{table}")
+        if by_month:
+            writer = writer.partitionBy(MONTH)
         if key:
             writer = writer.bucketBy(buckets, key).sortBy(key)
-        writer.saveAsTable(f"{database}.{name}")
+        writer.saveAsTable(f"{database}.{table}")
+        if statistics:
+            known = [c for c in df.columns if c in STATISTICS]
+            spark.sql(f"ANALYZE TABLE {database}.{table} COMPUTE STATISTICS"
+                      + (f" FOR COLUMNS {', '.join(known)}" if known else ""))
 
-    names = list(relations)
-    for name in names:          # build the DataFrames on this thread (plan construction is not parallel)
-        source.table(name)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        for _ in pool.map(write, names):
+        for _ in pool.map(write, jobs):
             pass
     return FinanceTables.from_catalog(spark, database, normalize=False)

@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .schema import RELATIONS, SCHEMAS
 
 
+MONTH = "_month"  # the first day of the month, a partition column of landed tables
+
+
+def month_of(day: Column) -> Column:
+    return F.trunc(day, "MM")
+
+
+def layout_table(name: str, key: str) -> str:
+    """Name of the table that holds relation ``name`` bucketed by ``key``."""
+    return f"{name}__by_{key}"
+
+
 def empty_strings_as_null(df: DataFrame) -> DataFrame:
     """Oracle stores '' as NULL; normalise once at ingest so NVL / IS NULL agree.
 
@@ -22,19 +35,25 @@ def empty_strings_as_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def conformed(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conformed(df: DataFrame, schema: T.StructType, optional: Collection[str] = ()) -> DataFrame:
     """The columns of ``schema`` in its types; a date that the source holds with its time of day
-    stays a timestamp, as periods that aren't truncated depend on it."""
+    stays a timestamp, as periods that aren't truncated depend on it. A column that the source lacks is an error,
+    as NULLs in its place would change results (no invoice cancelled, no discount taken), unless it is named in
+    ``optional``: then it is NULL."""
     kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
-    out = []
+    out, missing = [], []
     for f in schema.fields:
         kind = kinds.get(f.name.lower())
         if kind is None:
+            if f.name not in optional:
+                missing.append(f.name)
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
         elif kind == f.dataType or isinstance(f.dataType, T.DateType) and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             out.append(F.col(f.name).alias(f.name))
         else:
             out.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    if missing:
+        raise ValueError(f"the source lacks the columns {', '.join(missing)}; name them as optional to read them as NULL")
     return df.select(*out)
 
 
@@ -44,16 +63,20 @@ class FinanceTables:
     Each relation is created on first use, so a report only plans the scans it needs.
     """
 
-    def __init__(self, loader: Callable[[str], DataFrame] | Mapping[str, DataFrame]):
+    def __init__(self, loader: Callable[[str], DataFrame] | Mapping[str, DataFrame],
+                 layouts: Callable[[str], bool] = lambda table: False):
         if isinstance(loader, Mapping):
             frames = dict(loader)
             loader = frames.__getitem__
-        self._loader = loader
+        self._loader, self._has_layout = loader, layouts
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
+        return self._loaded(name).drop(MONTH)
+
+    def _loaded(self, name: str) -> DataFrame:
         if name not in self._cache:
             self._cache[name] = self._loader(name)
         return self._cache[name]
@@ -61,6 +84,23 @@ class FinanceTables:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def by(self, name: str, key: str) -> DataFrame:
+        """Relation ``name`` in the layout bucketed by ``key`` if it was landed in one, else as it is; the columns
+        may include a ``key`` that the relation itself lacks."""
+        table = layout_table(name, key)
+        return self.table(table if self._has_layout(table) else name)
+
+    def in_months(self, name: str, from_date: dt.date | None, to_date: dt.date | None) -> DataFrame:
+        """Relation ``name``, of which only the months that the days from ``from_date`` to ``to_date`` (None: open) lie
+        in are read where it was landed by month. A superset of the period: the caller filters by its own rule."""
+        df = self._loaded(name)
+        if MONTH in df.columns:
+            if from_date is not None:
+                df = df.filter(F.col(MONTH) >= F.lit(from_date.replace(day=1)))
+            if to_date is not None:
+                df = df.filter(F.col(MONTH) <= F.lit(to_date.replace(day=1)))
+        return df.drop(MONTH)
+
     def derived(self, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
         """A DataFrame derived from these tables, built once per key (e.g. the rate
         table of one functional currency) so every use shares one plan."""
@@ -70,13 +110,15 @@ class FinanceTables:
         return self._cache[k]
 
     def with_overrides(self, **frames: DataFrame) -> "FinanceTables":
-        base = self._loader
-        return FinanceTables(lambda n: frames[n] if n in frames else base(n))
+        base, has = self._loader, self._has_layout
+        # another layout of an overridden relation would hold its former rows
+        return FinanceTables(lambda n: frames[n] if n in frames else base(n), lambda table: has(table) and table.split("__by_")[0] not in frames)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, normalize: bool = False,
-                     use_schema: bool = True) -> "FinanceTables":
-        """One parquet file or folder per relation under ``root`` (``<root>/<relation>[.parquet]``).
+                     use_schema: bool = True, optional: Collection[str] = ()) -> "FinanceTables":
+        """One parquet file or folder per relation under ``root`` (``<root>/<relation>[.parquet]``). Columns named in
+        ``optional`` may be missing and are NULL then; other missing columns are an error.
 
         ``normalize=True`` turns '' into NULL on read (for sources that were not
         normalised when landed); it costs the predicate pushdown of string filters."""
@@ -87,7 +129,7 @@ class FinanceTables:
                 path += ".parquet"
             df = spark.read.parquet(path)
             if use_schema and name in SCHEMAS:
-                df = conformed(df, SCHEMAS[name])
+                df = conformed(df, SCHEMAS[name], optional)
             return empty_strings_as_null(df) if normalize else df
 
         return cls(load)
@@ -99,7 +141,7 @@ class FinanceTables:
             df = spark.table(f"{database}.{name}" if database else name)
             return empty_strings_as_null(df) if normalize else df
 
-        return cls(load)
+        return cls(load, lambda table: spark.catalog.tableExists(f"{database}.{table}" if database else table))
 
 
 __all__ = ["FinanceTables", "empty_strings_as_null", "RELATIONS"]
