@@ -32,6 +32,7 @@ from ..functions import days_outstanding, exact, nonzero_open_amount, nvl, optio
 from ..params import DEFAULT_BUCKETS, INVOICE_TYPE_LOOKUP, OPEN_PAYMENT_STATUS, AgingParams, Bucket
 from ..sources.tables import FinanceTables
 from .joins import broadcast_if_small
+from .totals import LEVEL
 
 
 def bucket_condition(days: Column, bucket: Bucket) -> Column:
@@ -113,11 +114,30 @@ def aging_summary_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
         signed_balance("accounted_dr", "accounted_cr").alias("amt_due_remaining"))
 
 
+def _summary_sums(p: AgingParams) -> list[Column]:
+    return [exact(nvl(F.sum("amt_due_remaining"), 0)).alias("total"),
+            *[exact(nvl(F.sum(x.name), 0)).alias(x.name) for x in p.buckets]]
+
+
 def ap_aging_summary(t: FinanceTables, p: AgingParams) -> DataFrame:
     """R2: aging per supplier name + number (not per vendor id), NULL sums shown as 0."""
     b = aging_buckets(aging_summary_rows(t, p), buckets=p.buckets)
-    g = b.groupBy("vendor_name", "vendor_number").agg(
-        exact(nvl(F.sum("amt_due_remaining"), 0)).alias("total"),
-        *[exact(nvl(F.sum(x.name), 0)).alias(x.name) for x in p.buckets])
+    g = b.groupBy("vendor_name", "vendor_number").agg(*_summary_sums(p))
     return g.select("vendor_name", "vendor_number", F.lit(p.as_on).alias("as_on_date"), "total",
                     *[x.name for x in p.buckets])
+
+
+def ap_aging_summary_with_total(t: FinanceTables, p: AgingParams) -> DataFrame:
+    """R2 and one grand total (``row_level`` 2) in one aggregation over the grouping sets (name, number) and (),
+    by level, name and number. The total of no rows is one row of NULL amounts."""
+    b = aging_buckets(aging_summary_rows(t, p), buckets=p.buckets).withColumn("_row", F.lit(1))
+    # a row that is in no sum: without it there would be no group for the total of no rows
+    none = t.poz_suppliers_v.sparkSession.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in b.schema.fields])
+    keys = [F.col("vendor_name"), F.col("vendor_number")]
+    g = b.unionByName(none).groupingSets([keys, []], *keys).agg(
+        F.when(F.grouping_id() == 0, 0).otherwise(2).alias(LEVEL), F.count("_row").alias("_rows"), *_summary_sums(p))
+    g = g.filter((F.col("_rows") > 0) | (F.col(LEVEL) == 2))
+    measures = [F.when(F.col("_rows") > 0, F.col(c)).alias(c) for c in ("total", *[x.name for x in p.buckets])]
+    as_on = F.when(F.col(LEVEL) == 0, F.lit(p.as_on)).alias("as_on_date")
+    return g.select("vendor_name", "vendor_number", as_on, *measures, LEVEL) \
+        .orderBy(LEVEL, F.col("vendor_name").asc_nulls_last(), F.col("vendor_number").asc_nulls_last())

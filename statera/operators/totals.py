@@ -3,8 +3,10 @@
 Detail rows can be exact duplicates (installment fan-out), so totals are *added*
 below the untouched rows instead of grouping over the row columns, which would merge
 duplicates. ``row_level`` tells rows (0), group subtotals (1) and the grand total (2)
-apart. The totals are an aggregate of the same plan as the rows; Spark reuses the
-rows' shuffles for it, and partial aggregation keeps a hot group cheap.
+apart. The rows are written once and both outputs read them: they are computed one time, not
+re-grouped, and a total reads only its keys and measures, summed map-side, so that a hot
+group is one partial row per task. A total over rows that are an aggregate themselves (R8) needs no second
+pass at all; ``aging.ap_aging_summary_with_total`` is one aggregation over grouping sets.
 """
 
 from __future__ import annotations
@@ -15,30 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import MONEY
+from ..session import scratch_table
 
 LEVEL = "row_level"
 
 
 def _with_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str], level: int) -> DataFrame:
-    """Rows (level 0) and their sums per ``keys`` (``level``) in one pass over ``df``.
-
-    Each row goes out once as itself and once as a part of its total, and one aggregation takes
-    both: the parts are summed map-side, and rows are grouped by all their columns with the number
-    of times they occur, so that equal rows stay as many as they were.
-    """
-    own = F.col(LEVEL) == 0
-    rows = df.select(*[F.col(c).cast(MONEY).alias(c) if c in measures else F.col(c) for c in df.columns],
-                     F.explode(F.array(F.lit(0), F.lit(level))).alias(LEVEL))
-    if not keys:  # a grand total is one row even without rows
-        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name != LEVEL]
-        rows = rows.unionByName(df.sparkSession.range(1).select(*none, F.lit(level).alias(LEVEL)))
-    grouped = [(F.col(c) if c in keys else F.when(own, F.col(c))).alias(f"_row_{i}") for i, c in enumerate(df.columns)]
-    out = rows.groupBy(LEVEL, *grouped).agg(
-        F.count(F.lit(1)).alias("_times"), *[F.sum(F.when(~own, F.col(m))).cast(MONEY).alias(f"_sum_{m}") for m in measures])
-    out = out.select("*", F.explode(F.when(own, F.sequence(F.lit(1), F.col("_times").cast("int"))).otherwise(F.array(F.lit(1)))))
-    back = [(F.when(own, F.col(f"_row_{i}")).otherwise(F.col(f"_sum_{c}")) if c in measures else F.col(f"_row_{i}")).alias(c)
-            for i, c in enumerate(df.columns)]
-    return out.select(*back, LEVEL)
+    """Rows (level 0) and their sums per ``keys`` (``level``); a grand total is one row even without rows."""
+    rows = scratch_table(df.select(*[F.col(c).cast(MONEY).alias(c) if c in measures else F.col(c) for c in df.columns]), "detail")
+    sums = rows.groupBy(*keys).agg(*[F.sum(m).cast(MONEY).alias(m) for m in measures])
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    total = sums.select(*[F.col(c) if c in keys or c in measures else F.lit(None).cast(kinds[c]).alias(c) for c in df.columns],
+                        F.lit(level).alias(LEVEL))
+    return rows.withColumn(LEVEL, F.lit(0)).union(total)
 
 
 def report_order(df: DataFrame, leading: Sequence, skip: Sequence[str] = ()) -> DataFrame:
@@ -53,11 +44,11 @@ def report_order(df: DataFrame, leading: Sequence, skip: Sequence[str] = ()) ->
 
 def with_group_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
                       sort: Sequence[str] = ()) -> DataFrame:
-    """Rows followed by one subtotal per group, groups ascending by key (NULLs last)."""
-    return report_order(_with_totals(df, keys, measures, 1), [*keys, LEVEL, *sort])
+    """Rows followed by one subtotal per group, groups ascending by key (NULLs last). ``sort``: the order within a group;
+    it should tell the rows of a large group apart, which are dealt to the ranges of the sort by it."""
+    return _with_totals(df, keys, measures, 1).orderBy(*[F.col(c).asc_nulls_last() for c in (*keys, LEVEL, *sort)])
 
 
-def with_grand_total(df: DataFrame, measures: Sequence[str], sort: Sequence[str] = ()) -> DataFrame:
-    """Rows and one grand-total row (every non-measure column NULL); sorted only if ``sort`` is given."""
-    out = _with_totals(df, [], measures, 2)
-    return report_order(out, [LEVEL, *sort]) if sort else out
+def with_grand_total(df: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """Rows and one grand-total row (every non-measure column NULL), unsorted."""
+    return _with_totals(df, [], measures, 2)

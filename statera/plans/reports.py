@@ -4,25 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.aging import ap_aging_detail, ap_aging_summary
+from ..operators.aging import ap_aging_detail, ap_aging_summary, ap_aging_summary_with_total
 from ..operators.ledger import supplier_statement, supplier_statement_by_vendor
 from ..operators.patient import patient_statement
 from ..operators.totals import with_grand_total, with_group_totals
-from ..params import AgingParams, PatientParams, StatementParams
+from ..params import AgingParams
 from ..sources.tables import FinanceTables
 
 DETAIL_MEASURES = ("amt_due_remaining", "current_month", "month_1", "month_2", "month_3", "month_abve_3")
-SUMMARY_MEASURES = ("total", "current_month", "month_1", "month_2", "month_3", "month_abve_3")
 
-
-def aging_detail(t: FinanceTables, p: AgingParams) -> DataFrame:
-    """Detail aging, one row per open invoice x installment x trial-balance row."""
-    return ap_aging_detail(t, p)
-
-
-def aging_summary(t: FinanceTables, p: AgingParams) -> DataFrame:
-    """R2: aging per supplier name and number."""
-    return ap_aging_summary(t, p)
+aging_detail = ap_aging_detail                                  # R1
+aging_summary = ap_aging_summary                                # R2
+supplier_account_statement = supplier_statement                 # R3
+supplier_account_statements = supplier_statement_by_vendor      # R3 for every supplier in one run
+patient_account_statement = patient_statement                   # R4 / R5
+aging_summary_with_grand_total = ap_aging_summary_with_total    # R8
 
 
 def aging_detail_with_subtotals(t: FinanceTables, p: AgingParams) -> DataFrame:
@@ -34,24 +30,3 @@ def aging_detail_with_subtotals(t: FinanceTables, p: AgingParams) -> DataFrame:
 def aging_detail_with_grand_total(t: FinanceTables, p: AgingParams) -> DataFrame:
     """Flat detail rows and one grand total."""
     return with_grand_total(ap_aging_detail(t, p), DETAIL_MEASURES)
-
-
-def aging_summary_with_grand_total(t: FinanceTables, p: AgingParams) -> DataFrame:
-    """Supplier summary and one grand total of the six measures."""
-    return with_grand_total(ap_aging_summary(t, p), SUMMARY_MEASURES, sort=["vendor_name", "vendor_number"])
-
-
-def supplier_account_statement(t: FinanceTables, p: StatementParams) -> DataFrame:
-    """Supplier statement with opening balance and running balance (one numbering
-    over all rows, as the reference does for one supplier name)."""
-    return supplier_statement(t, p)
-
-
-def supplier_account_statements(t: FinanceTables, p: StatementParams) -> DataFrame:
-    """R3 for every supplier in one run: numbering and balance restart per vendor."""
-    return supplier_statement_by_vendor(t, p)
-
-
-def patient_account_statement(t: FinanceTables, p: PatientParams) -> DataFrame:
-    """Patient statement; ``p.options`` is ``G1`` or ``G2``."""
-    return patient_statement(t, p)

@@ -9,7 +9,7 @@ from pyspark.sql.types import TimestampNTZType
 
 from conftest import dec, frame, tables
 from statera.functions import signed_balance
-from statera.operators.aging import aging_detail_rows, ap_aging_detail, ap_aging_summary
+from statera.operators.aging import aging_detail_rows, ap_aging_detail, ap_aging_summary, ap_aging_summary_with_total
 from statera.operators.totals import with_grand_total, with_group_totals
 from statera.params import AgingParams
 from statera.sources.tables import empty_strings_as_null
@@ -122,6 +122,16 @@ def test_group_and_grand_totals(spark):  # X29, A12, A13
     assert len(total) == 1 and total[0].amt == dec(35) and total[0].vendor_name is None
 
 
+def test_summary_with_its_total_in_one_aggregation(spark):  # R8, A13
+    vendors = [dict(vendor_id=1, vendor_name="B", segment1="1"), dict(vendor_id=2, vendor_name="A", segment1="2")]
+    inv = [dict(invoice_id=i, vendor_id=1 + i % 2, vendor_site_id=(1 + i % 2) * 10 + 1, invoice_date="2024-06-01") for i in (1, 2, 3)]
+    rows = ap_aging_summary_with_total(world(spark, inv, vendors=vendors), P).collect()
+    assert [(r.row_level, r.vendor_name, r.vendor_number, r.total, r.as_on_date) for r in rows] == [
+        (0, "A", "2", dec(20), P.as_on), (0, "B", "1", dec(10), P.as_on), (2, None, None, dec(30), None)]
+    none = ap_aging_summary_with_total(world(spark, []), P).collect()
+    assert [(r.row_level, r.vendor_name, r.total, r.month_1) for r in none] == [(2, None, None, None)]
+
+
 def test_duplicate_detail_rows_survive_totals(spark):  # X32 / H21
     t = world(spark, [dict(invoice_id=1, invoice_date="2024-06-01")],
               schedules=[dict(invoice_id=1, amount_remaining=30), dict(invoice_id=1, amount_remaining=40)],
