@@ -8,7 +8,8 @@
 
 Tables come from ``--tables`` (one parquet folder per relation) or ``--catalog``
 (a database of tables). The result is written by Spark's writers (parquet, csv,
-json or orc) to ``--out``; with ``--show N`` the first rows are printed instead, with
+json or orc) to ``--out``; ``--ordered`` adds each row's position in the report and writes the files in that
+order, ``--report-date`` replaces the folder of that date alone. With ``--show N`` the first rows are printed instead, with
 ``--explain`` the formatted physical plan.
 """
 
@@ -18,7 +19,7 @@ import argparse
 import datetime as dt
 import sys
 
-from .params import G1, G2, AgingParams, PatientParams, StatementParams
+from .params import G1, G2, AgingParams, FxConfig, PatientParams, StatementParams
 from .plans import reports
 
 AGING = {
@@ -57,6 +58,8 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--functional-currency", default="KES")
     ap.add_argument("--out")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
+    ap.add_argument("--ordered", action="store_true", help="add the column position, and write files in the report's order")
+    ap.add_argument("--report-date", type=_date, help="write to <out>/report_date=<date>, replacing what is there")
     ap.add_argument("--show", type=int, default=0)
     ap.add_argument("--explain", action="store_true",
                     help="print the formatted physical plan (pushed filters, exchanges) instead of running")
@@ -70,21 +73,24 @@ def parser() -> argparse.ArgumentParser:
     return ap
 
 
-def build(args, tables):
+def parameters(args) -> AgingParams | StatementParams | PatientParams:
     if args.report in AGING:
         if args.as_on is None:
             raise SystemExit("--as-on is required for aging reports")
-        return AGING[args.report](tables, AgingParams(args.as_on, args.vendor_name, args.vendor_num))
+        return AgingParams(args.as_on, args.vendor_name, args.vendor_num)
     if args.from_date is None or args.to_date is None:
         raise SystemExit("--from and --to are required for statements")
     if args.report in STATEMENTS:
         if args.report == "supplier-statement" and not args.supplier:
             raise SystemExit("--supplier is required (or use supplier-statements for all)")
-        return STATEMENTS[args.report](tables, StatementParams(args.from_date, args.to_date, args.supplier))
-    from .params import FxConfig
-    p = PatientParams(args.from_date, args.to_date, args.patient, party_name=args.party,
-                      options=G1 if args.variant == "G1" else G2, fx=FxConfig(args.functional_currency))
-    return reports.patient_account_statement(tables, p)
+        return StatementParams(args.from_date, args.to_date, args.supplier)
+    return PatientParams(args.from_date, args.to_date, args.patient, party_name=args.party,
+                         options=G1 if args.variant == "G1" else G2, fx=FxConfig(args.functional_currency))
+
+
+def build(args, tables):
+    report = {**AGING, **STATEMENTS}.get(args.report, reports.patient_account_statement)
+    return report(tables, parameters(args))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -93,6 +99,7 @@ def main(argv: list[str] | None = None) -> int:
 
     from .session import DEFAULT_CONF, cluster_conf, ensure_checkpoint_dir
     from .sources import FinanceTables
+    from .sources.sink import write_report
 
     builder = SparkSession.builder.appName(f"statera-{args.report}")
     if args.master:
@@ -116,10 +123,14 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if not args.out:
         raise SystemExit("--out or --show is required")
+    if args.ordered:
+        write_report(df, reports.order_of(args.report, df, parameters(args)), args.out, args.format, args.report_date)
+        return 0
+    out = args.out.rstrip("/") + (f"/report_date={args.report_date.isoformat()}" if args.report_date else "")
     writer = df.write.mode("overwrite").format(args.format)
     if args.format == "csv":
         writer = writer.option("header", "true")
-    writer.save(args.out)
+    writer.save(out)
     return 0
 
 

@@ -24,7 +24,7 @@ from ..params import NON_PATIENT_SENTINEL, STATUS_APPLIED, STATUS_REVERSED, STAT
 from ..sources.tables import FinanceTables
 from .fx import applied_to_functional, exchange_rate, rate, rate_table, to_functional, with_rate
 from .joins import restrict_to
-from .totals import report_order
+from .totals import total_order
 
 OUTPUT_COLUMNS = ("party_name", "customer_number", "invoice_number", "transaction_date", "gl_date",
                   "transaction_currency", "transaction_type", "transaction_original_amount", "functional_currency",
@@ -292,13 +292,18 @@ def ledger(t: FinanceTables, p: PatientParams) -> DataFrame:
     return invoice_branch(t, p).union(receipt_branch(t, p)).union(unapplied_branch(t, p)).distinct()
 
 
+def statement_order(df: DataFrame, p: PatientParams) -> list[Column]:
+    """O2 / O3: by date (G1) or by the text of the GL date, descending and NULLs first (G2), then by the other columns."""
+    first = [] if _single(p) else [SELECTOR]
+    if p.options.order == "date_asc":
+        return total_order(df, [*first, F.to_date("transaction_date", p.options.date_mask).asc_nulls_last()])
+    return total_order(df, [*first, F.col("gl_date").desc_nulls_first()], skip=["gl_date"])
+
+
 def patient_statement(t: FinanceTables, p: PatientParams) -> DataFrame:
     """R4 (options G1) / R5 (options G2). With ``p.patient_id`` None: every patient's
     statement in one run, with the selecting id in ``selector_id``."""
     out = ledger(t, p)
     if p.party_name is not None:
         out = out.filter(F.col("party_name") == F.lit(p.party_name))
-    first = [] if _single(p) else [SELECTOR]
-    if p.options.order == "date_asc":
-        return report_order(out, [*first, F.to_date("transaction_date", p.options.date_mask).asc_nulls_last()])
-    return report_order(out, [*first, F.col("gl_date").desc_nulls_first()], skip=["gl_date"])
+    return out.orderBy(*statement_order(out, p))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import MONEY
@@ -32,14 +32,18 @@ def _with_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str], le
     return rows.withColumn(LEVEL, F.lit(0)).union(total)
 
 
+def total_order(df: DataFrame, leading: Sequence, skip: Sequence[str] = ()) -> list[Column]:
+    """``leading`` (NULLs last) and then every other column but ``skip``: only equal rows tie."""
+    named = {c.lower() for c in [*leading, *skip] if isinstance(c, str)}
+    lead = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in leading]
+    return lead + [F.col(c).asc_nulls_last() for c in df.columns if c.lower() not in named]
+
+
 def report_order(df: DataFrame, leading: Sequence, skip: Sequence[str] = ()) -> DataFrame:
-    """Sort by ``leading`` and then by every other column: the report order only fixes the leading
+    """Sort by ``total_order``: the report order only fixes the leading
     keys, the rest makes the range partitions of the global sort fine-grained, so that a hot
     supplier or day spreads over many tasks."""
-    named = {c.lower() for c in [*leading, *skip] if isinstance(c, str)}
-    lead = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in leading]
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c.lower() not in named]
-    return df.orderBy(*lead, *rest)
+    return df.orderBy(*total_order(df, leading, skip))
 
 
 def with_group_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str],

@@ -22,6 +22,7 @@ from ..params import (APPROVED_STATUS, DEFAULT_BUCKETS, G1, G2, INVOICE_TYPE_LOO
                       WF_APPROVED_STATUS, AgingParams, FxConfig, PatientParams, StatementParams)
 from ..sources import derive_tables
 from ..sources.tables import FinanceTables
+from ..sources.sink import with_position
 from . import reports
 
 # Fixed test parameters (FIXTURES.md §1.4).
@@ -370,3 +371,33 @@ def q_patient_statement_g2(t: FinanceTables) -> DataFrame:
 def q_patient_statements_all_g2(t: FinanceTables) -> DataFrame:
     """R5 for every patient in one run (``selector_id`` names the patient)."""
     return reports.patient_account_statement(t, ALL_PATIENTS_G2)
+
+
+# ---- positions: the order of the reports, as a column ------------------------------------------
+
+def _positions(report: str, df: DataFrame, p) -> DataFrame:
+    return with_position(df, reports.order_of(report, df, p))
+
+
+@register("positions_statement_g1")
+def q_positions_statement_g1(t: FinanceTables) -> DataFrame:
+    """O2: statement by date."""
+    return _positions("patient-statement", reports.patient_account_statement(t, PATIENT_G1), PATIENT_G1)
+
+
+@register("positions_statements_all_g2")
+def q_positions_statements_all_g2(t: FinanceTables) -> DataFrame:
+    """O3: all patients' statements, each by the text of the GL date, descending, NULLs first."""
+    return _positions("patient-statement", reports.patient_account_statement(t, ALL_PATIENTS_G2), ALL_PATIENTS_G2)
+
+
+@register("positions_detail_subtotals")
+def q_positions_detail_subtotals(t: FinanceTables) -> DataFrame:
+    """Groups by supplier name, each followed by its subtotal."""
+    return _positions("aging-detail-subtotals", reports.aging_detail_with_subtotals(t, AGING), AGING)
+
+
+@register("positions_running_balance")
+def q_positions_running_balance(t: FinanceTables) -> DataFrame:
+    """O1: all suppliers' statements, each by date."""
+    return _positions("supplier-statements", reports.supplier_account_statements(t, ALL_SUPPLIERS), ALL_SUPPLIERS)
