@@ -21,6 +21,7 @@ from ..operators.joins import broadcast_if_small
 from ..params import (APPROVED_STATUS, DEFAULT_BUCKETS, G1, G2, INVOICE_TYPE_LOOKUP, VOID_PAYMENT_STATUS,
                       WF_APPROVED_STATUS, AgingParams, FxConfig, PatientParams, StatementParams)
 from ..sources import derive_tables
+from ..sources.hazards import DUPLICATED_DAY, duplicate_rates, times_of_day
 from ..sources.tables import FinanceTables
 from ..sources.sink import with_position
 from . import reports
@@ -401,3 +402,66 @@ def q_positions_detail_subtotals(t: FinanceTables) -> DataFrame:
 def q_positions_running_balance(t: FinanceTables) -> DataFrame:
     """O1: all suppliers' statements, each by date."""
     return _positions("supplier-statements", reports.supplier_account_statements(t, ALL_SUPPLIERS), ALL_SUPPLIERS)
+
+
+# ---- times of day, suppliers without a name, days with two rates --------------------------------
+
+@register("timed_periods")
+def q_timed_periods(t: FinanceTables) -> DataFrame:
+    """The same period by day and by time."""
+    between = F.col("trx_date").between(F.lit(PERIOD[0]), F.lit(PERIOD[1]))
+    return times_of_day(t).ra_customer_trx_all.select(
+        "customer_trx_id", day_between("trx_date", *PERIOD).alias("by_day"), between.alias("exact"))
+
+
+@register("timed_days_outstanding")
+def q_timed_days_outstanding(t: FinanceTables) -> DataFrame:
+    """P11, P15."""
+    return times_of_day(t).ap_invoices_all.select(
+        "invoice_id", days_outstanding(AS_ON, "invoice_date").cast("bigint").alias("past_due_days"),
+        date_text("invoice_date").alias("day_text"))
+
+
+@register("timed_optional_param_filter")
+def q_timed_optional_param_filter(t: FinanceTables) -> DataFrame:
+    """an optional parameter that isn't given drops suppliers whose name or number is NULL."""
+    v = times_of_day(t).poz_suppliers_v.filter(optional_match("vendor_name", None) & optional_match("segment1", None))
+    return v.select("vendor_id", "vendor_name", F.col("segment1").alias("supp_no"))
+
+
+def _to_the_minute(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, date_text(column, "yyyy-MM-dd HH:mm"))
+
+
+@register("timed_aging_detail")
+def q_timed_aging_detail(t: FinanceTables) -> DataFrame:
+    """An invoice of the as-on day itself, at midnight or later, is not yet old."""
+    return _to_the_minute(aging.ap_aging_detail(times_of_day(t), AGING), "invoice_date")
+
+
+@register("timed_ledger_union")
+def q_timed_ledger_union(t: FinanceTables) -> DataFrame:
+    """The last day of the period counts to its end."""
+    return _to_the_minute(ledger.ledger_union(times_of_day(t), ALL_SUPPLIERS), "trx_date")
+
+
+@register("timed_patient_statements_all")
+def q_timed_patient_statements_all(t: FinanceTables) -> DataFrame:
+    """Invoices of the period's last day after midnight are out; receipts and rates go by day."""
+    p = PatientParams(PERIOD[0], PERIOD[1], None, options=G1)
+    return reports.patient_account_statement(times_of_day(t), p)
+
+
+@register("duplicate_rates_any")
+def q_duplicate_rates_any(t: FinanceTables) -> DataFrame:
+    """Any of several rates, the smallest."""
+    return _receipt_rates(duplicate_rates(t), "any").select("cash_receipt_id", "exchange_rate", "functional_amount")
+
+
+@register("duplicate_rates_strict")
+def q_duplicate_rates_strict(t: FinanceTables) -> DataFrame:
+    """Several rates are no error where none is looked up, in the functional currency."""
+    d = duplicate_rates(t)
+    looked_up = (F.col("currency_code") == "KES") | (F.dayofmonth("receipt_date") != DUPLICATED_DAY)
+    return _receipt_rates(d.with_overrides(ar_cash_receipts_all=d.ar_cash_receipts_all.filter(looked_up)), "strict") \
+        .select("cash_receipt_id", "exchange_rate", "functional_amount")

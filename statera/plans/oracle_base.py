@@ -7,6 +7,8 @@ derivation (FIXTURES.md §1.2) as common table expressions. It mirrors
 
 from __future__ import annotations
 
+import re
+
 DERIVED_CTES = """
 poz_suppliers_v AS (
   SELECT s_suppkey AS vendor_id, s_name AS vendor_name, CAST(s_suppkey AS VARCHAR) AS segment1,
@@ -137,3 +139,27 @@ def with_derived(body: str, ctes: str = "") -> str:
     """``WITH <derived relations>[, <ctes>] <body>``."""
     extra = f",\n{ctes.strip()}" if ctes.strip() else ""
     return f"WITH {DERIVED_CTES.strip()}{extra}\n{body.strip()}"
+
+
+# the variants of statera.sources.hazards
+TIMES_OF_DAY = {
+    **{name: f"SELECT * REPLACE (CAST({day} AS TIMESTAMP) + to_hours(CAST({key} % 24 AS INTEGER)) AS {day}) FROM {name}_base"
+       for name, key, day in (("ap_invoices_all", "invoice_id", "invoice_date"), ("iby_payments_all", "payment_id", "payment_date"),
+                              ("ra_customer_trx_all", "customer_trx_id", "trx_date"),
+                              ("ar_cash_receipts_all", "cash_receipt_id", "receipt_date"))},
+    "poz_suppliers_v": "SELECT * REPLACE (if(vendor_id % 10 = 3, NULL, vendor_name) AS vendor_name, "
+                       "if(vendor_id % 10 = 7, NULL, segment1) AS segment1) FROM poz_suppliers_v_base",
+}
+DUPLICATE_RATES = {"gl_daily_rates": """
+  SELECT * FROM gl_daily_rates_base
+  UNION ALL SELECT * REPLACE (CAST(conversion_rate + 1 AS DECIMAL(10,4)) AS conversion_rate) FROM gl_daily_rates_base
+            WHERE day(conversion_date) = 17
+  UNION ALL SELECT DISTINCT conversion_date, 'KES', 'KES', CAST(r AS DECIMAL(10,4)) FROM gl_daily_rates_base, (VALUES (1), (2)) v(r)
+            WHERE day(conversion_date) = 17"""}
+
+
+def with_variant(variant: dict[str, str], body: str, ctes: str = "") -> str:
+    """``with_derived`` on relations changed by ``variant`` (their SQL over ``<relation>_base``)."""
+    base = re.sub(rf"\b({'|'.join(variant)})\b", r"\1_base", DERIVED_CTES.strip())
+    changed = ",\n".join(f"{name} AS ({sql})" for name, sql in variant.items())
+    return f"WITH {base},\n{changed}{',' if ctes.strip() else ''}\n{ctes.strip()}\n{body.strip()}"
