@@ -19,7 +19,7 @@ import argparse
 import datetime as dt
 import sys
 
-from .params import G1, G2, AgingParams, FxConfig, PatientParams, StatementParams
+from .params import G1, G2, AgingParams, FxConfig, PatientParams, SiteCodes, StatementParams
 from .plans import reports
 
 AGING = {
@@ -56,6 +56,10 @@ def parser() -> argparse.ArgumentParser:
     ap.add_argument("--party", help="patient statement G1: keep only this party name")
     ap.add_argument("--variant", choices=["G1", "G2"], default="G1")
     ap.add_argument("--functional-currency", default="KES")
+    site = SiteCodes()
+    ap.add_argument("--patient-context", default=site.patient_context, help="flexfield context of patient documents")
+    ap.add_argument("--other-documents", default=site.other_documents, help="value that stands for other documents")
+    ap.add_argument("--deposit-prefix", default=site.deposit_prefix, help="prefix of deposit receipts' numbers")
     ap.add_argument("--out")
     ap.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
     ap.add_argument("--ordered", action="store_true", help="add the column position, and write files in the report's order")
@@ -85,7 +89,8 @@ def parameters(args) -> AgingParams | StatementParams | PatientParams:
             raise SystemExit("--supplier is required (or use supplier-statements for all)")
         return StatementParams(args.from_date, args.to_date, args.supplier)
     return PatientParams(args.from_date, args.to_date, args.patient, party_name=args.party,
-                         options=G1 if args.variant == "G1" else G2, fx=FxConfig(args.functional_currency))
+                         options=G1 if args.variant == "G1" else G2, fx=FxConfig(args.functional_currency),
+                         site=SiteCodes(args.patient_context, args.other_documents, args.deposit_prefix))
 
 
 def build(args, tables):

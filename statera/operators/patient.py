@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (date_text, day_between, exact, flexfield, flexfield_matches, flexfield_or_sentinel, nvl,
                          receipt_class)
-from ..params import NON_PATIENT_SENTINEL, STATUS_APPLIED, STATUS_REVERSED, STATUS_UNAPPLIED, PatientParams
+from ..params import STATUS_APPLIED, STATUS_REVERSED, STATUS_UNAPPLIED, PatientParams
 from ..sources.tables import FinanceTables
 from .fx import applied_to_functional, exchange_rate, rate, rate_table, to_functional, with_rate
 from .joins import restrict_to
@@ -63,14 +63,15 @@ def _select(df: DataFrame, p: PatientParams, attribute: str, category: str | Non
     if category is None:
         selector = F.col(attribute)
     else:
-        selector = (flexfield_or_sentinel if sentinel else flexfield)(category, attribute)
+        context, other = p.site.patient_context, p.site.other_documents
+        selector = flexfield_or_sentinel(category, attribute, context, other) if sentinel else flexfield(category, attribute, context)
     if p.patient_id is None:
         return df.withColumn(SELECTOR, selector).filter(F.col(SELECTOR).isNotNull())
     if category is None:
         test = F.col(attribute) == F.lit(p.patient_id)
     else:
-        test = flexfield_matches(category, attribute, p.patient_id,
-                                 sentinel=NON_PATIENT_SENTINEL if sentinel else None)
+        test = flexfield_matches(category, attribute, p.patient_id, p.site.patient_context,
+                                 p.site.other_documents if sentinel else None)
     return df.filter(test).withColumn(SELECTOR, F.lit(p.patient_id))
 
 
@@ -141,9 +142,9 @@ def invoice_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
         F.when(F.col("invoice_currency_code") == F.lit(fx.functional_currency), nvl("total_applied_amount", 0))
         .otherwise(F.col("total_applied_amount") * rate("inv", fx.mode)).alias("functional_applied_amount"),
         to_functional("extended_amount", "invoice_currency_code", "inv", fx).alias("functional_original_amount"),
-        flexfield("attribute_category", "attribute1").alias("patient_id"),
-        flexfield("attribute_category", "attribute2").alias("patient_name"),
-        flexfield("attribute_category", "attribute12").alias("plan_name"), SELECTOR)
+        flexfield("attribute_category", "attribute1", p.site.patient_context).alias("patient_id"),
+        flexfield("attribute_category", "attribute2", p.site.patient_context).alias("patient_name"),
+        flexfield("attribute_category", "attribute12", p.site.patient_context).alias("plan_name"), SELECTOR)
 
 
 def invoice_branch(t: FinanceTables, p: PatientParams) -> DataFrame:
@@ -187,12 +188,12 @@ def _receipts(t: FinanceTables, p: PatientParams, in_period: bool) -> DataFrame:
             .join(par, "party_id"))
 
 
-def _receipt_columns(fx, functional_applied: Column, functional_original: Column, rate_col: Column) -> list:
+def _receipt_columns(p: PatientParams, functional_applied: Column, functional_original: Column, rate_col: Column) -> list:
     return [
         "party_name", F.col("account_number").alias("customer_number"), "receipt_number", "receipt_date", "gl_date",
         F.col("currency_code").alias("currency"), F.col("amount").alias("transaction_amount"),
-        F.lit(fx.functional_currency).alias("functional_currency"), rate_col.alias("exchange_rate"),
-        receipt_class("receipt_number").alias("transaction_type"),
+        F.lit(p.fx.functional_currency).alias("functional_currency"), rate_col.alias("exchange_rate"),
+        receipt_class("receipt_number", p.site.deposit_prefix).alias("transaction_type"),
         F.col("amount_applied").alias("transaction_applied_amount"),
         functional_applied.alias("functional_applied_amount"),
         functional_original.alias("functional_original_amount"),
@@ -212,7 +213,7 @@ def receipt_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
          .join(_receipts(t, p, p.options.receipt_in_period), "cash_receipt_id"))
     j = with_rate(j, rate_table(t, fx), "currency_code", "receipt_date", "rct")
     cols = _receipt_columns(
-        fx, applied_to_functional("amount_applied", "currency_code", "invoice_currency_code", "rct", fx),
+        p, applied_to_functional("amount_applied", "currency_code", "invoice_currency_code", "rct", fx),
         to_functional("amount", "currency_code", "rct", fx), exchange_rate("currency_code", "rct", fx))
     return j.select(*cols).filter(F.col("functional_original_amount") != 0)
 
@@ -266,7 +267,7 @@ def unapplied_rows(t: FinanceTables, p: PatientParams) -> DataFrame:
     j = j.join(receipt_applied_total(t, rc if _single(p) else None), "cash_receipt_id", "left")
     j = with_rate(j, rate_table(t, fx), "currency_code", "receipt_date", "rct")
     cols = _receipt_columns(
-        fx, to_functional("receipt_applied_total", "currency_code", "rct", fx, mode="any"),
+        p, to_functional("receipt_applied_total", "currency_code", "rct", fx, mode="any"),
         to_functional("amount", "currency_code", "rct", fx, mode="any"),
         exchange_rate("currency_code", "rct", fx, mode="any"))
     return j.select(*cols)

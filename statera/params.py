@@ -66,6 +66,15 @@ STATUS_REVERSED = "REV"
 DEPOSIT_PREFIX = "DR"
 
 
+@dataclass(frozen=True)
+class SiteCodes:
+    """What a site calls things: the flexfield context of patient documents, the value that stands for other
+    documents, and the prefix of deposit receipts' numbers."""
+    patient_context: str = PATIENT_CONTEXT
+    other_documents: str = NON_PATIENT_SENTINEL
+    deposit_prefix: str = DEPOSIT_PREFIX
+
+
 @dataclass(frozen=True)
 class PatientOptions:
     """The two datasets of the patient statement are two settings of this object."""
@@ -94,3 +103,4 @@ class PatientParams:
     party_name: str | None = None       # G1 keeps only this party (the reference hard-codes a cashier)
     options: PatientOptions = G1
     fx: FxConfig = field(default_factory=FxConfig)
+    site: SiteCodes = field(default_factory=SiteCodes)

@@ -19,7 +19,7 @@ from ..functions import (date_display, date_text, day_between, days_outstanding,
 from ..operators import aging, balances, fx, ledger, patient
 from ..operators.joins import broadcast_if_small
 from ..params import (APPROVED_STATUS, DEFAULT_BUCKETS, G1, G2, INVOICE_TYPE_LOOKUP, VOID_PAYMENT_STATUS,
-                      WF_APPROVED_STATUS, AgingParams, FxConfig, PatientParams, StatementParams)
+                      WF_APPROVED_STATUS, AgingParams, FxConfig, PatientParams, SiteCodes, StatementParams)
 from ..sources import derive_tables
 from ..sources.hazards import DUPLICATED_DAY, duplicate_rates, times_of_day
 from ..sources.tables import FinanceTables
@@ -374,6 +374,19 @@ def q_patient_statements_all_g2(t: FinanceTables) -> DataFrame:
     return reports.patient_account_statement(t, ALL_PATIENTS_G2)
 
 
+@register("patient_statements_all_g1")
+def q_patient_statements_all_g1(t: FinanceTables) -> DataFrame:
+    """R4 for every patient in one run; documents of no patient are under the sentinel."""
+    return reports.patient_account_statement(t, PatientParams(PATIENT_G1.from_date, PATIENT_G1.to_date, None, options=G1))
+
+
+@register("patient_statement_other_documents")
+def q_patient_statement_other_documents(t: FinanceTables) -> DataFrame:
+    """R5 for the sentinel: the documents of no patient, at a site with codes of its own."""
+    site = SiteCodes(other_documents="NONE", deposit_prefix="RC1")
+    return reports.patient_account_statement(t, PatientParams(*PERIOD, "NONE", options=G2, site=site))
+
+
 # ---- positions: the order of the reports, as a column ------------------------------------------
 
 def _positions(report: str, df: DataFrame, p) -> DataFrame:
