@@ -72,26 +72,33 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
 
 
-FILTER_SLOTS = 1 << 20  # of a slot filter: one byte each, whatever the number of keys
-BITMAP = 32768  # bits in a bitmap of bitmap_construct_agg
-
-
-def slot_filter(keys: DataFrame, key: str) -> Column:
-    """A filter of fixed size over the bigint column ``key``, as a literal for ``passes``. It lets all
-    keys through, and others at the rate at which slots are taken; it only ever saves work."""
-    slot = F.pmod(F.col(key), F.lit(FILTER_SLOTS))
-    rows = keys.groupBy(F.bitmap_bucket_number(slot).alias("b")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).collect()  # 33 x 4 KB at most
-    out = bytearray(FILTER_SLOTS)
-    for r in rows:
-        # bucket 1 holds slots 1 to 32768; slot 0 is alone in bucket 0, at bit 0
-        first = (r["b"] - 1) * BITMAP + 1 if r["b"] else 0
-        for i, byte in enumerate(r["bits"]):
-            for bit in range(8) if byte else ():
-                if byte >> bit & 1:
-                    out[first + i * 8 + bit] = 1
-    return F.lit(bytes(out))
-
-
-def passes(known: Column, key: Column) -> Column:
-    return F.substring(known, F.pmod(key, F.lit(FILTER_SLOTS)).cast("int") + 1, F.lit(1)) == F.lit(b"\x01")
+FEWEST_SLOTS, MOST_SLOTS = 1 << 20, 1 << 27  # of a slot filter; 16 MB at most
+SLOTS_PER_KEY = 16
+
+
+class SlotFilter:
+    """A filter over the bigint column ``key`` of ``keys`` (a landed table): a bit for each slot, by the key modulo the
+    number of slots, which follows the number of keys up to a limit. It lets all keys through, and others at the
+    rate at which slots are taken (beyond eight million keys ever more); it only ever saves work.
+
+    ``words`` is a scalar subquery on a written table of one row, so that the bits are in no plan text. As Spark allows
+    no subquery in a higher-order function, make a column of it first there."""
+
+    def __init__(self, keys: DataFrame, key: str, path: str):
+        spark = keys.sparkSession
+        self.slots = min(max(FEWEST_SLOTS, 1 << (SLOTS_PER_KEY * keys.count()).bit_length()), MOST_SLOTS)
+        slot = self._slot(F.col(key))
+        taken = keys.groupBy(F.shiftright(slot, 6).alias("id")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))).alias("w"))
+        every = spark.range(self.slots // 64).join(taken, "id", "left").select(F.struct("id", F.coalesce("w", F.lit(0)).alias("w")).alias("x"))
+        self.table = landed(every.agg(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["w"]).alias("words")), path)
+
+    @property
+    def words(self) -> Column:
+        return self.table.scalar()
+
+    def _slot(self, key: Column) -> Column:
+        return F.pmod(key, F.lit(self.slots))
+
+    def passes(self, words: Column, key: Column) -> Column:
+        slot = self._slot(key)
+        return F.getbit(F.get(words, F.shiftright(slot, 6).cast("int")), (slot % 64).cast("int")) == 1

@@ -7,7 +7,7 @@ With ``k + w - 1`` equal to the window length both sides keep the same smallest
 window, so every shared span of that length shares a fingerprint. Items shorter than the window
 form length classes of their own with ``k + w - 1`` equal to their length.
 
-1. benchmark: fingerprints per length class, and a slot filter of fixed size over them;
+1. benchmark: fingerprints per length class, and a slot filter over them;
 2. one pass over the documents: word count, fingerprints, and the words of those documents
    whose fingerprints pass the filter (a superset; text is never shuffled);
 3. the surviving fingerprints are joined with the benchmark's, and each hit is extended to the
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import landed, lower_az, passes, scratch, slot_filter, table, with_row
+from .common import SlotFilter, landed, lower_az, scratch, table, with_row
 
 WINDOW, GRAM = 10, 4
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -63,10 +63,9 @@ def windows_around(words: Column, grams: Column, fps: Column, length: int) -> Co
     return F.transform(starts, lambda s: F.struct(s.alias("start"), gram_at(words, s, length).alias("gram")))
 
 
-def passing(fps: Column, known: Column, length: int) -> Column:
-    """The fingerprints that pass the slot filter, with their length class."""
-    return F.transform(F.filter(fps, lambda fp: passes(known, fp)),
-                       lambda fp: F.struct(F.lit(length).alias("len"), fp.alias("fp")))
+def classed(fps: Column, length: int) -> Column:
+    """Fingerprints with their length class."""
+    return F.transform(fps, lambda fp: F.struct(F.lit(length).alias("len"), fp.alias("fp")))
 
 
 def _combined(df: DataFrame, a: str, b: str, shift: int, f, into: str) -> DataFrame:
@@ -133,7 +132,7 @@ class Benchmark:
         self.windows = landed(sets, f"{work}/windows")
         self.sets = landed(self.windows.groupBy("set_id").agg(F.first("item_ids").alias("item_ids")),
                            f"{work}/sets")
-        self.filter = slot_filter(self.fingerprints, "fp")
+        self.filter = SlotFilter(self.fingerprints, "fp", f"{work}/filter")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -144,26 +143,25 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     bench = Benchmark(items, work)
     read = docs.select(with_row(docs).alias("row"), words_of(docs["text"]).alias("words")) \
         .withColumn("n_words", F.size("words").cast("long"))
-    hits = F.array().cast("array<struct<len:int,fp:bigint>>")
+    own = F.array().cast("array<struct<len:int,fp:bigint>>")
     for n in bench.lengths:
         read = with_winnowed(with_grams(read, n), n, into=f"fps{n}").drop("grams")
-        hits = F.concat(hits, passing(F.col(f"fps{n}"), bench.filter, n))
-    read = read.select("row", "n_words", "words", hits.alias("hits")).select(
+        own = F.concat(own, classed(F.col(f"fps{n}"), n))
+    read = read.select("row", "n_words", "words", own.alias("own"), bench.filter.words.alias("known"))
+    read = read.select("row", "n_words", "words", F.filter(
+        "own", lambda x: bench.filter.passes(F.col("known"), x["fp"])).alias("hits")).select(
         F.monotonically_increasing_id().alias("uid"), "row", "n_words",
         F.when(F.size("hits") > 0, F.col("words")).alias("words"), "hits")
     read = landed(read, f"{work}/read")
-
-    found = read.where(F.size("hits") > 0).select("uid", "words", F.explode("hits").alias("hit")) \
-        .select("uid", "words", "hit.*")
-    return _counted(read, _windows(found, bench), bench.sets)
+    return _counted(read, _windows(read.where(F.size("hits") > 0).select("uid", "words", "hits"), bench), bench.sets)
 
 
 def _windows(found: DataFrame, bench: Benchmark) -> DataFrame:
     """uid, start, len, set_id of the document windows that are windows of items."""
     # which (document, class) have a true fingerprint; the words travel once per document and class
-    true = found.select("uid", "len", "fp").join(bench.fingerprints, ["len", "fp"]) \
+    true = found.select("uid", F.explode("hits").alias("hit")).select("uid", "hit.*").join(bench.fingerprints, ["len", "fp"]) \
         .groupBy("uid", "len").agg(F.collect_set("fp").alias("fps"))
-    whole = found.groupBy("uid", "len").agg(F.first("words").alias("words")).join(true, ["uid", "len"])
+    whole = found.select("uid", "words", F.explode(F.array_distinct("hits.len")).alias("len")).join(true, ["uid", "len"])
     spans = None
     for n in bench.lengths:
         own = with_grams(whole.where(F.col("len") == n), n)
@@ -176,19 +174,24 @@ def _windows(found: DataFrame, bench: Benchmark) -> DataFrame:
 
 
 def _counted(read: DataFrame, windows: DataFrame, sets: DataFrame) -> DataFrame:
-    per_doc = windows.groupBy("uid").agg(
-        F.collect_set(F.struct("start", "len")).alias("spans"), F.collect_set("set_id").alias("sets"))
     covered = F.size(F.array_distinct(F.flatten(F.transform(
         "spans", lambda s: F.sequence(s["start"], s["start"] + s["len"] - 1))))).cast("long")
-    per_doc = per_doc.select("uid", covered.alias("n_hit"), "sets")
-    ids = per_doc.select("uid", "n_hit", F.explode("sets").alias("set_id")).join(sets, "set_id") \
-        .select("uid", "n_hit", F.explode("item_ids").alias("item_id")) \
-        .groupBy("uid").agg(F.first("n_hit").alias("n_hit"), F.sort_array(F.collect_set("item_id")).alias("ids"))
-    none = F.array().cast("array<struct<id:string>>")
+    sets_of = F.sort_array("sets")
+    per_doc = windows.groupBy("uid").agg(
+        F.collect_set(F.struct("start", "len")).alias("spans"), F.collect_set("set_id").alias("sets")) \
+        .select("uid", covered.alias("n_hit"), sets_of.alias("sets"), F.md5(F.array_join(sets_of, ",")).alias("combination"))
+    # many documents have the same sets: their items are told once for each combination
+    listed = per_doc.groupBy("combination").agg(F.first("sets").alias("sets")) \
+        .select("combination", F.explode("sets").alias("set_id")).join(sets, "set_id") \
+        .select("combination", F.explode("item_ids").alias("item_id")) \
+        .groupBy("combination").agg(F.sort_array(F.collect_set("item_id")).alias("ids")) \
+        .select("combination", F.size("ids").cast("long").alias("n_items"),
+                F.sha2(F.concat_ws(",", F.col("ids")["id"]), 256).alias("items_sha256"))
+    ids = per_doc.drop("sets").join(listed, "combination").drop("combination")
     return read.select("uid", "row", "n_words").join(ids, "uid", "left").select(
         "row", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.size(F.coalesce("ids", none)).cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", F.coalesce("ids", none)["id"]), 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"),
         F.col("n_hit").isNotNull().alias("contaminated"))
 
 

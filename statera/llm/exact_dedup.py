@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, landed, passes, scratch, session_conf, slot_filter
+from .common import WHITE, SlotFilter, landed, scratch, session_conf
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass":
@@ -87,9 +87,9 @@ class ExactDedup:
         hit = F.col("n").isNotNull()
         # the text travels with rows whose digest can be a group's, and with few others
         key = F.xxhash64("digest")
-        known = slot_filter(groups.select(key.alias("key")), "key")
+        known = SlotFilter(groups.select(key.alias("key")), "key", f"{self.work}/filter")
         rows = rows.select("doc_id", "loc", "digest", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"),
-                           F.when(passes(known, key), F.col("norm")).alias("norm"))
+                           F.when(known.passes(known.words, key), F.col("norm")).alias("norm"))
         decided = landed(
             rows.join(groups, "digest", "left").select("doc_id", "loc", "digest", "keep", "n", "sha",
                                                        F.when(hit, F.col("norm")).alias("norm")), f"{self.work}/decided")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import landed, passes, scratch, slot_filter, table
+from .common import SlotFilter, landed, scratch, table
 
 KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -142,7 +142,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     model = landed(pair_counts(labelled, values), f"{work}/pairs")
     scored = landed(random_values(values, model), f"{work}/random")
     # few runs are random: the others stay where they are
-    unsure = runs.where(passes(slot_filter(scored, "h"), F.xxhash64("value")))
+    known = SlotFilter(scored, "h", f"{work}/filter")
+    unsure = runs.where(known.passes(known.words, F.xxhash64("value")))
     added = unsure.join(scored.select("value"), "value").groupBy("uid").agg(
         F.collect_list(F.struct("start", "kind", "end", "value")).alias("added"))
     return read.select("uid", "doc_id", "base").join(added, "uid", "left").select(
