@@ -13,7 +13,8 @@ shingles of ``width`` words, two in op7 (its whole sequence if it has fewer word
    bands of 6 slots a linked pair shares no band with a probability under 2e-6.
 3. In each band bucket all members are verified on their full sets against one pivot, the member that
    meets most others over all bands (the original of a group of copies is in nearly every bucket of
-   theirs), then linked members are united. Only buckets that still hold several groups go on. Two
+   theirs), then linked members are united. Buckets with the same pivot are one from here on, a row per
+   pivot and member. Only those that still hold several groups go on. Two
    members x, y of a pivot P share at most min(|x & P|, |y & P|) shingles inside P, so only what members
    have beyond P is laid out, a row per shingle. Pairs that share a rare one of these (up to ``RARE``
    members of P have it) are listed with the number they share, which is linear, and verified if this
@@ -41,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, landed, scratch, table, with_row
+from .common import SlotFilter, bounded_batches, landed, scratch, table, with_row
 
 BANDS, ROWS = 44, 6
 SLOTS = BANDS * ROWS
@@ -295,12 +296,16 @@ class NearDuplicates:
         weight = members.groupBy("nid").agg(F.sum("c").alias("weight"))
         pivots = members.join(weight, "nid").groupBy("band") \
             .agg(F.max(F.struct("weight", "nid")).getField("nid").alias("pivot"))
-        members = self._land(members.select("band", "nid").join(pivots, "band"), "members")
+        members = members.select("band", "nid").join(pivots, "band")
+        # the buckets of a pivot as one: those of a group of copies have nearly the same members in all bands
+        members = self._land(members.select("pivot", "nid").distinct(), "members")
 
         wanted = members.select("nid").distinct().join(classes.select("nid", "doc_id", "content", "k0", "k1"), "nid")
         wanted = self._land(wanted, "wanted")
+        known = SlotFilter(wanted.select(F.xxhash64("doc_id", "content").alias("key")), "key", f"{self.work}/wanted-filter")
         text = F.coalesce(self.docs["text"], F.lit("")).cast("binary")
         texts = self.docs.select(self.docs["doc_id"].cast("long").alias("doc_id"), F.md5(text).alias("content"), text.alias("text"))
+        texts = texts.where(known.passes(known.words, F.xxhash64("doc_id", "content")))  # few texts travel
         found = texts.join(wanted, ["doc_id", "content"]).select("nid", "k0", "k1", "text")
         if self.null_ids:  # copies without an id become one before they travel
             same = texts.where("doc_id IS NULL").groupBy("content").agg(F.first("text").alias("text"))
@@ -309,7 +314,7 @@ class NearDuplicates:
             .mapInArrow(partial(_sets, width=self.width), "nid long, members binary").dropDuplicates(["nid"])
         sets = self._land(sets, "sets")
 
-        pairs = members.where("nid <> pivot").select(F.col("nid").alias("a"), F.col("pivot").alias("b")).distinct()
+        pairs = members.where("nid <> pivot").select(F.col("nid").alias("a"), F.col("pivot").alias("b"))
         seen = self._verified(pairs, sets, "verified")
         links = seen.where(_linked()).select("a", "b")
         labels = united(links, f"{self.work}/united")
@@ -328,12 +333,12 @@ class NearDuplicates:
             .withColumn("component_id", F.when(takes_part, F.col("component_id")).otherwise(F.col("doc_id")))
 
     def _rest(self, members: DataFrame, seen: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
-        """Goes on with the buckets that hold several groups until none has an unverified pair."""
+        """Goes on with the pivots whose members are in several groups until none has an unverified pair."""
         far = F.expr("1 - inter / (na + nb - inter)")
         known = seen.select(F.col("a").alias("nid"), F.col("b").alias("pivot"), far.alias("d"))
         # what isn't verified against the pivot was ruled out by size: farther than a link, up to 1
         left = members.where("nid <> pivot").join(known, ["nid", "pivot"], "left").select(
-            "band", "nid", "pivot", F.coalesce("d", F.lit((100 - PERCENT) / 100)).alias("near"),
+            "nid", "pivot", F.coalesce("d", F.lit((100 - PERCENT) / 100)).alias("near"),
             F.coalesce("d", F.lit(1.0)).alias("far"))
         left, turn = left.join(self.classes.select("nid", "n"), "nid"), 0
         while True:
@@ -344,8 +349,8 @@ class NearDuplicates:
                 .join(label.toDF("pivot", "of_pivot"), "pivot", "left") \
                 .withColumn("of_pivot", F.coalesce("of_pivot", "pivot"))
             left = self._land(left, f"left{turn}")
-            still = left.where("label <> of_pivot").select("band").distinct()
-            left = self._land(left.join(still, "band", "left_semi"), f"open{turn}")
+            still = left.where("label <> of_pivot").select("pivot").distinct()
+            left = self._land(left.join(still, "pivot", "left_semi"), f"open{turn}")
             if turn == 1:
                 left, links = self._possible(left, sets)
                 labels = self._joined(labels, links, 0)
@@ -354,25 +359,25 @@ class NearDuplicates:
             if outside.isEmpty():
                 return labels
             slot = F.pmod(F.xxhash64("nid"), F.lit(PIVOTS))
-            chosen = outside.groupBy("band", slot.alias("slot")).agg(F.min("nid").alias("nid")).drop("slot")
-            pivots = self._land(left.join(chosen, ["band", "nid"]).select("band", *[
+            chosen = outside.groupBy("pivot", slot.alias("slot")).agg(F.min("nid").alias("nid")).drop("slot")
+            pivots = self._land(left.join(chosen, ["pivot", "nid"]).select("pivot", *[
                 F.col(c).alias(f"p_{c}") for c in ("nid", "n", "inside", "often", "label", "near", "far")]), f"pivots{turn}")
             apart = F.greatest(F.col("near") - F.col("p_far"), F.col("p_near") - F.col("far"))
-            pairs = left.join(pivots, "band").where(F.col("label") != F.col("p_label")) \
+            pairs = left.join(pivots, "pivot").where(F.col("label") != F.col("p_label")) \
                 .where("9 * (least(inside, p_inside) + least(often, p_often)) >= 4 * (n + p_n)") \
                 .where("5 * least(n, p_n) >= 4 * greatest(n, p_n)") \
                 .where(apart <= (100 - PERCENT) / 100 + 1e-9) \
                 .select(F.least("nid", "p_nid").alias("a"), F.greatest("nid", "p_nid").alias("b")).distinct()
             links = self._verified(pairs, sets, f"verified{turn}").where(_linked()).select("a", "b")
             labels = self._joined(labels, links, turn)
-            left = left.join(pivots.select("band", F.col("p_nid").alias("nid")), ["band", "nid"], "left_anti")
+            left = left.join(pivots.select("pivot", F.col("p_nid").alias("nid")), ["pivot", "nid"], "left_anti")
 
     def _possible(self, left: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Members with ``inside``, the number of their shingles that their pivot has too, and ``often``, of
         the others those that many members of the pivot have, without those that have too few of both for a
-        link with the smallest partner their bucket can offer; and the links between members of different
+        link with the smallest partner their pivot can offer; and the links between members of different
         groups that share a rare shingle."""
-        pairs = left.select("nid", "pivot", "n", "label").distinct()
+        pairs = left.select("nid", "pivot", "n", "label")
         rows = pairs.join(sets.toDF("nid", "own"), "nid").join(sets.toDF("pivot", "other"), "pivot") \
             .select("nid", "pivot", "own", "other").mapInArrow(_beyond, "nid long, pivot long, h long")
         rows = self._land(rows, "beyond")
@@ -390,9 +395,9 @@ class NearDuplicates:
             .join(known.toDF("b", "pivot", "nb", "lb", "ib", "ob"), ["b", "pivot"]) \
             .where("la <> lb AND 9 * (least(ia, ib) + r + least(oa, ob)) >= 4 * (na + nb)").select("a", "b").distinct()
         links = self._verified(able, sets, "verified-rare").where(_linked()).select("a", "b")
-        smallest = left.groupBy("band").agg(F.min("n").alias("smallest"))
+        smallest = left.groupBy("pivot").agg(F.min("n").alias("smallest"))
         # overlap >= 4/9 of both sizes together, and the partner has 4/5 of the size at least
-        left = left.join(known.drop("n", "label"), ["nid", "pivot"]).join(smallest, "band") \
+        left = left.join(known.drop("n", "label"), ["nid", "pivot"]).join(smallest, "pivot") \
             .where("45 * (inside + often) >= 4 * greatest(9 * n, 5 * (n + smallest))").drop("smallest")
         return self._land(left, "possible"), links
 
@@ -426,14 +431,20 @@ def one_of_each_group(docs: DataFrame, width: int = 2) -> DataFrame:
     text = F.coalesce(docs["text"], F.lit("")).cast("binary")
     rows = docs.select(with_row(docs).alias("row"), docs["doc_id"].cast("long").alias("doc_id"),
                        F.md5(text).alias("content"), docs["text"].rlike(r"[^\x20\x09-\x0D]").alias("words"))
-    kept = rows.where("doc_id IS NOT NULL").join(stay, ["doc_id", "content"])
+    # only rows that may have to go are joined with those that stay
+    key = F.xxhash64("doc_id", "content")
+    moving = decided.where("doc_id IS NOT NULL").join(stay.where("NOT repeated"), ["doc_id", "content"], "left_anti")
+    known = SlotFilter(run._land(moving.select(key.alias("key")), "moving"), "key", f"{run.work}/moving-filter")
+    may_go = known.passes(known.words, key)
+    calm = rows.where(F.col("doc_id").isNotNull() & ~may_go)
+    kept = rows.where(F.col("doc_id").isNotNull() & may_go).join(stay, ["doc_id", "content"])
     if not stay.where("repeated AND doc_id IS NOT NULL").isEmpty():
         kept = kept.where("NOT repeated").unionByName(
             kept.where("repeated").dropDuplicates(["doc_id", "content"]))
     without = rows.where("doc_id IS NULL")
     one = without.where("words").groupBy("content").agg(F.first("row").alias("row")) \
         .join(stay.where("doc_id IS NULL").select("content"), "content", "left_semi")
-    return kept.select("row").unionByName(one.select("row")) \
+    return calm.select("row").unionByName(kept.select("row")).unionByName(one.select("row")) \
         .unionByName(without.where("NOT coalesce(words, false)").select("row")).select("row.*")
 
 
