@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions import days_outstanding, exact, nonzero_open_amount, nvl, optional_match, signed_balance
 from ..params import DEFAULT_BUCKETS, INVOICE_TYPE_LOOKUP, OPEN_PAYMENT_STATUS, AgingParams, Bucket
 from ..sources.tables import FinanceTables
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, join_fact, per_document
 from .totals import LEVEL
 
 
@@ -64,12 +64,19 @@ def _vendors(t: FinanceTables, p: AgingParams) -> DataFrame:
 
 def with_trial_balance(df: DataFrame, t: FinanceTables) -> DataFrame:
     """Inner join on invoice and vendor."""
-    return df.join(t.ap_trial_balances.select("invoice_id", "vendor_id", "accounted_dr", "accounted_cr"),
-                   ["invoice_id", "vendor_id"])
+    return join_fact(t, df, "ap_trial_balances", t.ap_trial_balances.select(
+        "invoice_id", "vendor_id", "accounted_dr", "accounted_cr"), ["invoice_id", "vendor_id"])
+
+
+INVOICE_FACTS = ("ap_invoices_all", "ap_payment_schedules_all", "ap_trial_balances")
 
 
 def aging_detail_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
     """Open invoice x installment x trial-balance rows with age and signed balance."""
+    return per_document(t, INVOICE_FACTS, "invoice_id", lambda part: _detail_rows(part, p))
+
+
+def _detail_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
     inv = t.in_months("ap_invoices_all", None, p.as_on).filter(
         F.col("payment_status_flag").isin(*OPEN_PAYMENT_STATUS)
         & (F.col("invoice_date") < F.lit(p.as_on))
@@ -79,7 +86,8 @@ def aging_detail_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
     ps = t.ap_payment_schedules_all.select("invoice_id", "amount_remaining")
     sites = broadcast_if_small(t.poz_supplier_sites_all_m.select("vendor_site_id"))
     # suppliers and sites first: with a supplier given, its few invoices meet the other facts
-    j = (inv.join(_vendors(t, p), "vendor_id").join(sites, "vendor_site_id").join(ps, "invoice_id")
+    j = (join_fact(t, inv.join(_vendors(t, p), "vendor_id").join(sites, "vendor_site_id"),
+                   "ap_payment_schedules_all", ps, ["invoice_id"])
          .filter(nonzero_open_amount("amount_remaining", "exchange_rate")))
     j = with_trial_balance(j, t)
     return j.select(
@@ -99,6 +107,10 @@ def ap_aging_detail(t: FinanceTables, p: AgingParams) -> DataFrame:
 
 
 def aging_summary_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
+    return per_document(t, INVOICE_FACTS, "invoice_id", lambda part: _summary_rows(part, p))
+
+
+def _summary_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
     inv = t.in_months("ap_invoices_all", None, p.as_on).filter(F.col("invoice_date") < F.lit(p.as_on)).select(
         "invoice_id", "vendor_id", "invoice_type_lookup_code", "invoice_date", "terms_id")
     ps = t.ap_payment_schedules_all.select("invoice_id")
@@ -106,7 +118,7 @@ def aging_summary_rows(t: FinanceTables, p: AgingParams) -> DataFrame:
         t.ap_lookup_codes.filter(F.col("lookup_type") == INVOICE_TYPE_LOOKUP)
         .select(F.col("lookup_code").alias("invoice_type_lookup_code")))
     terms = broadcast_if_small(t.ap_terms_val_v.select(F.col("term_id")))
-    j = with_trial_balance(inv.join(_vendors(t, p), "vendor_id").join(ps, "invoice_id"), t)
+    j = with_trial_balance(join_fact(t, inv.join(_vendors(t, p), "vendor_id"), "ap_payment_schedules_all", ps, ["invoice_id"]), t)
     j = j.join(lookup, "invoice_type_lookup_code").join(terms, F.col("terms_id") == F.col("term_id"), "left")
     return j.select(
         "vendor_name", F.col("segment1").alias("vendor_number"),

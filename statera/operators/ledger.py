@@ -17,7 +17,7 @@ from ..functions import date_text, day_between, exact, nvl
 from ..params import APPROVED_STATUS, VOID_PAYMENT_STATUS, WF_APPROVED_STATUS, StatementParams
 from ..sources.tables import FinanceTables
 from .balances import opening_balance
-from .joins import broadcast_if_small, restrict_to
+from .joins import broadcast_if_small, per_document, restrict_to
 from .running import sequence_and_running_total
 
 LEDGER_COLUMNS = ("rec_type", "vendor_id", "sup_name", "sup_num", "trx_num", "patient_name", "trx_date",
@@ -36,10 +36,12 @@ def _suppliers(t: FinanceTables, p: StatementParams) -> DataFrame:
 
 def invoice_tax_total(t: FinanceTables, invoices: DataFrame | None = None) -> DataFrame:
     """Per invoice ``SUM(NVL(amount, 0))`` of its TAX lines."""
-    lines = t.ap_invoice_lines_all.filter(F.col("line_type_lookup_code") == "TAX")
-    if invoices is not None:
-        lines = restrict_to(lines, invoices, "invoice_id")
-    return lines.groupBy("invoice_id").agg(F.sum(nvl("amount", 0)).alias("tax_total"))
+    def total(t: FinanceTables) -> DataFrame:
+        lines = t.ap_invoice_lines_all.filter(F.col("line_type_lookup_code") == "TAX")
+        if invoices is not None:
+            lines = restrict_to(lines, invoices, "invoice_id")
+        return lines.groupBy("invoice_id").agg(F.sum(nvl("amount", 0)).alias("tax_total"))
+    return per_document(t, ["ap_invoice_lines_all"], "invoice_id", total)
 
 
 def payment_wht_total(t: FinanceTables, checks: DataFrame | None = None) -> DataFrame:

@@ -13,6 +13,10 @@
 * **Months.** Documents that statements select by a period are partitioned by the month of their day, which is a
   column of the files' folders only. ``FinanceTables.in_months`` reads the months of a period alone, so
   that a statement of one month lists and reads one month's files.
+* **Hot documents.** A bucketed join is not split by AQE, so one document with a large part of a fact's rows would be one
+  task. Landing counts the rows of each document; those with more than ``HOT_SHARE`` of a bucket's share are written
+  beside the buckets, dealt evenly to files. ``operators.joins.per_document`` joins the other documents in place and
+  these by a salted join.
 * **Statistics.** Row counts and the distinct values, extremes and NULLs of the columns that jobs filter and join
   on, in the catalog. With them the optimizer (``spark.sql.cbo.enabled``, see ``session.DEFAULT_CONF``)
   estimates the documents of one supplier or patient as the few they are; they are broadcast to cut the facts in
@@ -25,9 +29,10 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schema import RELATIONS
-from .tables import MONTH, FinanceTables, empty_strings_as_null, layout_table, month_of
+from .tables import MONTH, FinanceTables, empty_strings_as_null, hot_table, layout_table, month_of
 
 BUCKET_KEYS: dict[str, str] = {
     "ap_invoices_all": "invoice_id",
@@ -58,6 +63,9 @@ MONTH_OF: dict[str, str] = {
     "ar_cash_receipts_all": "receipt_date",
 }
 
+# a document is hot from this part of the rows that a bucket has on average; there are at most buckets / HOT_SHARE
+HOT_SHARE = 0.5
+
 # columns whose statistics decide plans: join keys, and what accounts, periods and states are selected by
 STATISTICS = {
     "vendor_id", "vendor_site_id", "party_id", "party_name", "vendor_name", "segment1", "lookup_type", "lookup_code",
@@ -89,11 +97,22 @@ def _layout_rows(source: FinanceTables, name: str, key: str) -> DataFrame:
     return df.join(owners, "customer_trx_line_id")
 
 
+def _hot_ids(df: DataFrame, key: str, buckets: int, share: float) -> tuple[DataFrame | None, int]:
+    """The documents of ``df`` that are hot, and in how many files their rows are half as many as a bucket's."""
+    counts = df.groupBy(key).count()
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    hot = counts.filter((F.col("count") > max(1.0, total * share / buckets)) & F.col(key).isNotNull()).collect()  # buckets / share at most
+    if not hot:
+        return None, 0
+    ids = df.sparkSession.createDataFrame([(r[key],) for r in hot], T.StructType([T.StructField(key, df.schema[key].dataType)]))
+    return ids, -(-2 * sum(r["count"] for r in hot) * buckets // total)
+
+
 def land_tables(spark: SparkSession, source: FinanceTables, database: str = "default", buckets: int = 8,
                 relations: Iterable[str] = RELATIONS, parallel: int = 4,
                 location: str | None = None, normalize: bool = True,
                 bucket_keys: Mapping[str, str | None] | None = None, layouts: bool = True,
-                months: bool = True, statistics: bool = True) -> FinanceTables:
+                months: bool = True, statistics: bool = True, hot_share: float | None = None) -> FinanceTables:
     """Write every relation of ``source`` as a table of ``database`` (bucketed facts),
     and return FinanceTables reading them back from the catalog. With ``location`` the
     tables' files go to ``<location>/<relation>`` (e.g. a shared folder), otherwise to
@@ -102,7 +121,7 @@ def land_tables(spark: SparkSession, source: FinanceTables, database: str = "def
     overrides the bucketing keys (None: unbucketed, e.g. for a fact with a hot document).
     Rows are dealt to buckets before the write, so that each bucket is one sorted file (one per month).
     ``layouts``, ``months`` and ``statistics`` switch the second layouts, the partitions by month and the
-    column statistics.
+    column statistics. With ``hot_share`` (e.g. ``HOT_SHARE``; costs a count per document) hot documents lie apart.
 
     Tables are independent, so up to ``parallel`` of them are written at the same
     time (Spark runs jobs submitted from several threads side by side and shares the
@@ -124,6 +143,15 @@ def land_tables(spark: SparkSession, source: FinanceTables, database: str = "def
         by_month = months and name in MONTH_OF and table == name
         if by_month:
             df = df.withColumn(MONTH, month_of(F.col(MONTH_OF[name])))
+        hot, files = _hot_ids(df, key, buckets, hot_share) if key and hot_share and table == name else (None, 0)
+        if hot is not None:
+            apart = df.join(F.broadcast(hot), key, "left_semi").repartition(files).write.mode("overwrite").format("parquet")
+            if location:
+                apart = apart.option("path", f"{location.rstrip('/')}/{hot_table(table)}")
+            apart.saveAsTable(f"{database}.{hot_table(table)}")
+            df = df.join(F.broadcast(hot), key, "left_anti")
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{hot_table(table)}")
         if key:
             df = df.repartition(buckets, key)
         writer = df.write.mode("overwrite").format("parquet")

@@ -25,6 +25,11 @@ def layout_table(name: str, key: str) -> str:
     return f"{name}__by_{key}"
 
 
+def hot_table(table: str) -> str:
+    """Name of the table with the rows of ``table``'s hot documents."""
+    return f"{table}__hot"
+
+
 def empty_strings_as_null(df: DataFrame) -> DataFrame:
     """Oracle stores '' as NULL; normalise once at ingest so NVL / IS NULL agree.
 
@@ -70,6 +75,8 @@ class FinanceTables:
             loader = frames.__getitem__
         self._loader, self._has_layout = loader, layouts
         self._cache: dict[str, DataFrame] = {}
+        # where all documents are hot: salts of the joins of facts, and the facts with many rows of a document
+        self.salts, self.heavy = 1, frozenset()
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -78,9 +85,21 @@ class FinanceTables:
 
     def _loaded(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self._loader(name)
+            df = self._loader(name)
+            self._cache[name] = df.unionByName(self.hot(name)) if self.is_hot(name) else df
         return self._cache[name]
 
+    def is_hot(self, name: str) -> bool:
+        """Whether relation ``name`` has documents that lie apart from its buckets."""
+        return self._has_layout(hot_table(name))
+
+    def hot(self, name: str) -> DataFrame:
+        return self._loader(hot_table(name))
+
+    def cold(self, name: str) -> DataFrame:
+        """Relation ``name`` without the rows of hot documents, in its buckets."""
+        return self._loader(name)
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
@@ -112,7 +131,7 @@ class FinanceTables:
     def with_overrides(self, **frames: DataFrame) -> "FinanceTables":
         base, has = self._loader, self._has_layout
         # another layout of an overridden relation would hold its former rows
-        return FinanceTables(lambda n: frames[n] if n in frames else base(n), lambda table: has(table) and table.split("__by_")[0] not in frames)
+        return FinanceTables(lambda n: frames[n] if n in frames else base(n), lambda table: has(table) and table.split("__")[0] not in frames)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, normalize: bool = False,
