@@ -91,8 +91,9 @@ def apart(runs: Column, base: Column) -> Column:
 
 def pairs_of(value: Column) -> Column:
     """Neighbouring characters; none of a value of one character."""
-    n = F.char_length(value)
-    return F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substring(value, i, F.lit(2))))
+    # split once: a substring of a long value would be looked for from its start each time
+    return F.transform(F.array(F.split(value, "")), lambda c: F.zip_with(
+        F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1), lambda a, b: F.concat(a, b)))[0]
 
 
 def pair_counts(labelled: DataFrame, values: DataFrame) -> DataFrame:
