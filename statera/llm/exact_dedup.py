@@ -30,6 +30,8 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+MEETING = 200  # rows of a group, about, that are compared with their keeper in one place
+
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), WHITE, " ")
@@ -94,9 +96,12 @@ class ExactDedup:
             rows.join(groups, "digest", "left").select("doc_id", "loc", "digest", "keep", "n", "sha",
                                                        F.when(hit, F.col("norm")).alias("norm")), f"{self.work}/decided")
         hits = decided.where(hit)
-        keepers = hits.where(F.col("loc") == F.col("keep")).select("digest", F.col("norm").alias("keep_norm"))
-        differing = landed(hits.join(keepers, "digest").where(F.col("norm") != F.col("keep_norm"))
-                           .select("digest").distinct(), f"{self.work}/collisions")
+        # a large group meets copies of its keeper in several tasks
+        parts = F.ceil(F.col("n") / MEETING).cast("int")
+        keepers = hits.where(F.col("loc") == F.col("keep")).select(
+            "digest", F.col("norm").alias("keep_norm"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+        met = hits.withColumn("part", F.pmod(F.xxhash64("loc"), parts).cast("int")).join(keepers, ["digest", "part"])
+        differing = landed(met.where(F.col("norm") != F.col("keep_norm")).select("digest").distinct(), f"{self.work}/collisions")
         slim = decided.drop("norm")
         if not differing.isEmpty():  # rows of a colliding digest: grouped by their whole text
             whole = hits.join(differing, "digest", "left_semi").groupBy("digest", "norm") \
