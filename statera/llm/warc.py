@@ -15,8 +15,9 @@ Bundles go through ``pyarrow.fs`` to the shared folder. A task holds one frame a
 Reading back: seek tables of the bundles named in the index give the frames, which are dealt out
 again and read by range; payload digests are computed anew and a record that doesn't match fails.
 
-A null html is an empty payload. A null page_id comes after all others; its record has no id in its
-headers and can only be read with the rest. Rows that repeat both id and payload are all responses if
+A null html is an empty payload. A null page_id comes after all others; its record has a random id in its
+headers and can only be read with the rest. WARC-Date is the time of writing; white space and control
+characters of a url are percent-encoded. Rows that repeat both id and payload are all responses if
 their id is the group's smallest. An empty table gives an empty index. Other columns are not read.
 """
 
@@ -24,9 +25,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
+import time
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +40,7 @@ from .common import bounded_batches, landed, scratch, table
 
 FRAME_BYTES = 1 << 20     # raw bytes after which a frame is closed
 BUNDLE_BYTES = 256 << 20  # compressed bytes after which a bundle is closed
+READ_BYTES = 64 << 20     # raw bytes that a task reads back, about
 LEVEL = 3
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # magic numbers of the seekable format
 INDEX = "page_id long, bundle string, frame int, at long, length long"
@@ -57,20 +62,21 @@ def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _line(value: str | None) -> str:
-    return " ".join((value or "").split())
+def _uri(value: str) -> str:
+    """White space and control characters percent-encoded, so that a header stays one line."""
+    return re.sub(r"[\s\x00-\x1f\x7f]", lambda m: quote(m[0]), value)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
     revisit = refers_to is not None
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}"]
-    if page_id is not None:
-        head.append(f"WARC-Record-ID: <urn:page:{page_id}>")
+    own = f"urn:page:{page_id}" if page_id is not None else uuid.uuid4().urn
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: <{own}>", f"WARC-Date: {date}",
+            "Content-Type: text/html; charset=utf-8"]
     if revisit:
         head += [f"WARC-Refers-To: <urn:page:{refers_to}>",
                  "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     if url is not None:
-        head.append(f"WARC-Target-URI: {_line(url)}")
+        head.append(f"WARC-Target-URI: {_uri(url)}")
     head += [f"WARC-Payload-Digest: sha1:{sha1_base32(payload)}", f"X-Payload-Length: {len(payload)}",
              f"Content-Length: {0 if revisit else len(payload)}"]
     return "\r\n".join(head).encode("utf-8", "replace") + b"\r\n\r\n" + (b"" if revisit else payload) + b"\r\n\r\n"
@@ -89,7 +95,7 @@ def parse(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
 
 
 def _id(value: str | None) -> int | None:
-    return int(value.rpartition(":")[2].rstrip(">")) if value else None
+    return int(value[len("<urn:page:"):-1]) if value and value.startswith("<urn:page:") else None
 
 
 def checked(head: dict[str, str], content: bytes) -> tuple:
@@ -180,6 +186,7 @@ def write_bundles(pages: DataFrame, folder: str, least_revisit: int = 0) -> Data
     """Writes the archives to ``folder`` and returns the index."""
     bounded_batches(pages.sparkSession)
     data = f"{folder}/bundles"
+    date = time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundle = None
@@ -192,7 +199,7 @@ def write_bundles(pages: DataFrame, folder: str, least_revisit: int = 0) -> Data
                         fs.create_dir(path, recursive=True)
                         bundle = Bundle(data)
                     page_id = page_id.as_py()
-                    content = record(page_id, url.as_py(), payload.as_py(), refers_to.as_py())
+                    content = record(page_id, url.as_py(), payload.as_py(), refers_to.as_py(), date)
                     rows.append((page_id, bundle.name, *bundle.add(content), len(content)))
                     if bundle.packed >= BUNDLE_BYTES:
                         bundle.close()
@@ -225,8 +232,10 @@ def read_bundles(index: DataFrame, folder: str) -> DataFrame:
                     head, content, at = parse(raw, at)
                     rows.append(checked(head, content))
                 yield _records(rows)
-    frames = index.select("bundle").distinct().mapInArrow(tables, FRAMES)
-    return frames.repartition("bundle", "frame").mapInArrow(records, RECORDS)
+    # an explicit number of partitions, as rows that name frames are few bytes and would be joined into one
+    parts = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // READ_BYTES))
+    frames = index.select("bundle").distinct().repartition(parts, "bundle").mapInArrow(tables, FRAMES)
+    return frames.repartition(parts, "bundle", "frame").mapInArrow(records, RECORDS)
 
 
 def fetch(index: DataFrame, folder: str, ids: DataFrame) -> DataFrame:
@@ -261,7 +270,7 @@ SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (substr(bits, i * 5 + 1, 1)::INT * 16 + substr(bits, i * 5 + 2, 1)::INT * 8
          + substr(bits, i * 5 + 3, 1)::INT * 4 + substr(bits, i * 5 + 4, 1)::INT * 2 + substr(bits, i * 5 + 5, 1)::INT) + 1, 1)),
          'string_agg', '') AS payload_digest,
-       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> first THEN first END AS refers_to
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM s
 """
