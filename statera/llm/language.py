@@ -18,7 +18,6 @@ predicted alike; other columns are not read.
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, crc32_mod, table
+from .common import bounded_batches, crc32_mod, landed, scratch, table
 
 FOLDS, HELD_OUT = 3, 1
 TRI, BI = 4096, 1024  # slots of hashed 3-grams and 2-grams
@@ -36,13 +35,12 @@ EXHAUSTIVE, BITS = 6, 63  # up to 6 languages all splits are bits; else as many,
 MAX_LANGUAGES = 1000
 SHARPNESS, CLOSE = 8.0, 0.1
 CHUNK = 256
-LETTER = re.compile(r"[^\W\d_]")
 LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))  # other ASCII to blanks
 
 
 def n_grams(text: str) -> np.ndarray | None:
     """Frequencies of hashed n-grams; None without a letter."""
-    if not text or not LETTER.search(text):
+    if not text or not any(map(str.isalpha, text)):  # category L; digits such as ½, ² and ① are none
         return None
     cleaned = b" " + b" ".join(text.lower().encode("utf-8", "replace").translate(LETTERS).split()) + b" "
     b = np.frombuffer(cleaned, np.uint8).astype(np.uint32)
@@ -108,13 +106,14 @@ def learn(docs: DataFrame) -> Model:
         for lang, total in by.items():
             at = np.flatnonzero(total)
             yield pd.DataFrame({"lang": lang, "i": at.astype(np.int32), "v": total[at]})
-    summed = rows.mapInPandas(sums, "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v"))
-    seen = [r[0] for r in summed.select("lang").distinct().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()]
-    if len(seen) > MAX_LANGUAGES:
+    summed = rows.mapInPandas(sums, "lang string, i int, v double").groupBy("lang", "i").agg(F.sum("v").alias("v")) \
+        .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("sums"))
+    found = landed(summed, f"{scratch(docs.sparkSession, 'language')}/sums").orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    totals = {lang: np.zeros(SIZE + 1) for lang in seen}
-    for lang, i, v in summed.collect():  # languages x n-gram slots, whatever the corpus
-        totals[lang][i] = v
+    seen, totals = [r["lang"] for r in found], {r["lang"]: np.zeros(SIZE + 1) for r in found}
+    for r in found:  # SIZE + 1 sums at most each, whatever the corpus
+        totals[r["lang"]][[x["i"] for x in r["sums"]]] = [x["v"] for x in r["sums"]]
     code = codewords(len(seen))
     if not seen:
         return Model([], code, np.zeros((SIZE, 1)), np.zeros(1), np.ones(1), np.ones(1))
