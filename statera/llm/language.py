@@ -11,8 +11,9 @@ that the next one is close.
 Learns from text and lang alone, of rows with a lang and with a crc32 of the id as text whose
 remainder by 3 isn't 1; rows with a null id are not learnt from. A text that is null or has no
 letter is ``und`` with score 0, as is every text if there is nothing to learn from. Languages
-beyond ``MAX_LANGUAGES`` (by name) raise an error rather than being dropped. Repeated rows are
-predicted alike; other columns are not read.
+beyond ``MAX_LANGUAGES`` (by name) raise an error rather than being dropped. Code words have a bit for each way to
+split up to ``EXHAUSTIVE`` languages in two, and ``BITS`` bits drawn with a fixed seed for more of them. Repeated rows are
+predicted alike; ``held_out`` is null for a null id; other columns are not read.
 """
 
 from __future__ import annotations

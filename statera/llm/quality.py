@@ -10,7 +10,8 @@ with remainder 3 calibrate, the others fit. Labels, lang, source and id are neve
 
 Several labels of one id are averaged; null labels and ids are left out. Without labelled rows
 nothing can be told apart and every score is 1. Null and empty texts have a vector of zeros and a
-score like any other. Repeated rows score alike; other columns are not read.
+score like any other. Without labelled rows in the calibration fold raw scores are taken as they are, cut to 0 and 1.
+Repeated rows score alike; ``held_out`` is null for a null id; other columns are not read.
 """
 
 from __future__ import annotations
