@@ -153,7 +153,8 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("uid"), "row", "n_words",
         F.when(F.size("hits") > 0, F.col("words")).alias("words"), "hits")
     read = landed(read, f"{work}/read")
-    return _counted(read, _windows(read.where(F.size("hits") > 0).select("uid", "words", "hits"), bench), bench.sets)
+    windows = _windows(read.where(F.size("hits") > 0).select("uid", "words", "hits"), bench)
+    return _counted(read, windows, bench.sets, f"{work}/counted")
 
 
 def _windows(found: DataFrame, bench: Benchmark) -> DataFrame:
@@ -173,13 +174,14 @@ def _windows(found: DataFrame, bench: Benchmark) -> DataFrame:
     return spans.join(bench.windows.select("gram", "set_id"), "gram").select("uid", "len", "start", "set_id")
 
 
-def _counted(read: DataFrame, windows: DataFrame, sets: DataFrame) -> DataFrame:
+def _counted(read: DataFrame, windows: DataFrame, sets: DataFrame, path: str) -> DataFrame:
     covered = F.size(F.array_distinct(F.flatten(F.transform(
         "spans", lambda s: F.sequence(s["start"], s["start"] + s["len"] - 1))))).cast("long")
     sets_of = F.sort_array("sets")
     per_doc = windows.groupBy("uid").agg(
         F.collect_set(F.struct("start", "len")).alias("spans"), F.collect_set("set_id").alias("sets")) \
         .select("uid", covered.alias("n_hit"), sets_of.alias("sets"), F.md5(F.array_join(sets_of, ",")).alias("combination"))
+    per_doc = landed(per_doc, path)  # read twice
     # many documents have the same sets: their items are told once for each combination
     listed = per_doc.groupBy("combination").agg(F.first("sets").alias("sets")) \
         .select("combination", F.explode("sets").alias("set_id")).join(sets, "set_id") \
