@@ -4,6 +4,8 @@ checkpoint folder, cluster settings, display masks."""
 from __future__ import annotations
 
 import datetime as dt
+import re
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from conftest import dec, frame
 from statera.functions import date_display, money_text
 from statera.operators.joins import broadcast_if_small, estimated_bytes
 from statera.session import cluster_conf, ensure_checkpoint_dir
-from statera.sources import FinanceTables, derive_tables
+from statera.sources import FinanceTables, derive, derive_tables
 from statera.sources.landing import land_tables
 
 SF = "/root/testdata/sf0.001"
@@ -89,3 +91,22 @@ def test_display_masks(spark):  # P18, P19
     got = [tuple(r) for r in df.select(money_text("amt"), date_display("d")).collect()]
     assert got == [("1,234,567.13", "5-Feb-24"), ("-0.01", "25-Dec-24")]
     assert F is not None
+
+
+def test_grouped_facts_are_dealt_by_the_size_of_their_files(spark, tmp_path, monkeypatch):
+    # tasks of the sums grow with the tables instead of the rows of a task; repeated and null orders count as before
+    day = dt.datetime(1998, 1, 2)
+    lines = [(k, k % 7, Decimal(k + n)) for k in range(200) for n in range(3)] + [(None, 1, Decimal(5))]
+    orders = [(k, k % 11, day, "F") for k in range(200)] + [(7, 7, day, "F"), (8, 1, day, "O"), (None, 2, day, "F")]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_extendedprice decimal(18,2)").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderstatus string").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    plain = sorted(map(str, derive.DriverTables(spark, str(tmp_path)).ap_invoices_all().collect()))
+    monkeypatch.setattr(derive, "DEALT_FROM", 0)
+    monkeypatch.setattr(derive, "PART_BYTES", 1 << 10)
+    dealt = derive.DriverTables(spark, str(tmp_path)).ap_invoices_all()
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert int(re.search(r"hashpartitioning\(l_orderkey#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan).group(1)) > 4
+    assert "ENSURE_REQUIREMENTS" not in plan  # the sums need no further exchange
+    assert sorted(map(str, dealt.collect())) == plain and len(plain) == 201
