@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -275,3 +276,56 @@ def test_patient_selection_is_pushed_into_the_scan(spark, tmp_path):
     zzz = PatientParams(dt.date(2024, 1, 1), dt.date(2024, 12, 31), "ZZZ")
     z = _select(t.ra_customer_trx_all, zzz, "attribute1", "attribute_category", sentinel=True)
     assert [r.customer_trx_id for r in z.collect()] == [2]
+
+
+# ---- every patient in one run ---------------------------------------------------------------
+
+def _repeated_world(spark):
+    """Repeated transactions, receipts, accounts, parties and null keys."""
+    def app(receipt_id, trx_id, amount, status="APP", day="2024-03-06"):
+        return dict(cash_receipt_id=receipt_id, applied_customer_trx_id=trx_id, status=status, amount_applied=amount, gl_date=day)
+    return world(
+        spark,
+        hz_parties=[dict(party_id=1, party_name="Cust"), dict(party_id=1, party_name="Cust"), dict(party_id=2, party_name=None)],
+        hz_cust_accounts=[dict(cust_account_id=1, party_id=1, account_number="AC1"), dict(cust_account_id=1, party_id=1, account_number="AC9"),
+                          dict(cust_account_id=2, party_id=2, account_number="AC2"), dict(cust_account_id=None, party_id=1, account_number="N")],
+        ra_customer_trx_all=[trx(1), trx(1, date="2023-03-01"), trx(1, bill_to_customer_id=2), trx(2, "USD", attribute1="P8"),
+                             trx(3, category="OTHER"), trx(4, bill_to_customer_id=None), trx(None), trx(5, attribute1=None)],
+        ra_customer_trx_lines_all=[dict(customer_trx_line_id=10 * i + n, customer_trx_id=i, line_type="LINE", extended_amount=100 + n)
+                                   for i in (1, 2, 3, 4, 5) for n in (0, 1)],
+        ra_cust_trx_line_gl_dist_all=[dict(customer_trx_line_id=10 * i + n, gl_date="2024-03-02") for i in (1, 2, 3, 4, 5) for n in (0, 1, 1)],
+        ar_cash_receipts_all=[receipt(9), receipt(9), receipt(8, "USD"), receipt(7, attribute1="P8"), receipt(6, attribute1=None),
+                              receipt(5, pay_from_customer=2), receipt(None)],
+        ar_receivable_applications_all=[app(9, 1, 30), app(9, 1, 5, day="2024-02-28"), app(9, 2, None), app(8, 2, 7), app(8, 1, 3), app(5, 3, 4),
+                                        app(None, 1, 9), app(7, None, 50, "UNAPP"), app(7, None, 20, "UNAPP", "2024-02-29"),
+                                        app(7, 1, 6, "UNAPP"), app(6, None, 2, "UNAPP"), app(5, None, 3, "UNAPP")],
+        gl_daily_rates=[rate("USD", "2024-03-01", 150), rate("USD", "2024-03-05", 151)])
+
+
+@pytest.mark.parametrize("options", [G1, G2])
+def test_statements_of_all_patients_equal_each_patients_own_with_repeated_and_null_ids(spark, options):
+    t = _repeated_world(spark)
+    rows = patient_statement(t, _period(options, None)).collect()
+    assert {"P7", "P8"} <= {r.selector_id for r in rows}
+    for who in ("P7", "P8", "ZZZ"):
+        own = patient_statement(t, _period(options, who))
+        mine = [str(tuple(r[c] for c in own.columns)) for r in rows if r.selector_id == who]
+        assert mine == [str(tuple(r)) for r in own.collect()]
+
+
+@pytest.mark.parametrize("options", [G1, G2])
+def test_rows_of_all_patients_travel_once_to_be_grouped_and_made_distinct(spark, options):
+    spark.conf.set("spark.sql.maxToStringFields", "100")
+    try:
+        plan = patient_statement(_repeated_world(spark), _period(options, None))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxToStringFields")
+    by_name = re.findall(r"Exchange hashpartitioning\(([^)]*party_name[^)]*)\)", plan)
+    assert len(by_name) == 3 and all(len(keys.split(", ")) == 4 for keys in by_name)
+    sort = re.search(r"Sort \[(.*)\], true", plan).group(1)
+    assert "(" not in sort  # no date parsed anew in each comparison
+
+
+def test_applications_without_a_transaction_are_spread_over_the_tasks_of_its_join(spark):
+    plan = unapplied_branch(_repeated_world(spark), _period(G1, None))._jdf.queryExecution().executedPlan().toString()
+    assert "_spread" in plan
